@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulseframe.operators import counters
+from pulseframe.operators import counters, inventory, scope, semantics
 from pulseframe.plans import bindings
 from pulseframe.vocab import DISCARD_METRICS
 
@@ -78,3 +78,255 @@ def _(spark, sf):
 def _(spark, sf):
     rows = bindings.history(spark, sf).filter(F.col("canonical_metric").isin(*DISCARD_METRICS))
     return counters.detect_decreases(rows, ["hostid", "ifindex", "canonical_metric"], "value")
+
+
+# --- inventory, scope, semantics ------------------------------------------------------------------
+
+
+def inventory_items(spark, sf):
+    """Catalogue items of hosts that exist, with the host's identity."""
+    host = bindings.hosts(spark, sf).select("hostid", "host", "name")
+    return bindings.catalog(spark, sf).drop("host").join(host, "hostid")
+
+
+def selectable(spark, sf):
+    return inventory.tag_categories(inventory_items(spark, sf))
+
+
+def joined_text(col):
+    return F.concat_ws(",", col)
+
+
+@query("P1_categories")
+def _(spark, sf):
+    tagged = inventory.tag_categories(bindings.catalog(spark, sf))
+    return tagged.select("itemid", joined_text("categories").alias("categories"))
+
+
+@query("P2_category_counts")
+def _(spark, sf):
+    return inventory.category_counts(inventory.tag_categories(bindings.catalog(spark, sf)))
+
+
+@query("P2_inventory_summary")
+def _(spark, sf):
+    return inventory.inventory_summary(bindings.hosts(spark, sf), bindings.catalog(spark, sf))
+
+
+@query("P3_priority")
+def _(spark, sf):
+    return inventory.prioritise(bindings.catalog(spark, sf)).select("itemid", "priority")
+
+
+@query("P4_selected_metrics")
+def _(spark, sf):
+    chosen = inventory.select_metrics(selectable(spark, sf))
+    return chosen.select(
+        "priority", "hostid", "host", "itemid", "metric_name", "key", "units", "value_type",
+        "delay", "interfaceid", "last_clock", "status", "state",
+    )
+
+
+@query("P4_priority_counts")
+def _(spark, sf):
+    return inventory.priority_counts(inventory.prioritise(bindings.catalog(spark, sf)))
+
+
+@query("P5_numeric_type_counts")
+def _(spark, sf):
+    return inventory.numeric_type_counts(bindings.items(spark, sf))
+
+
+@query("P6_temperature_units")
+def _(spark, sf):
+    return inventory.unit_trouble(bindings.catalog(spark, sf)).select(
+        "itemid", "hostid", "key", "units"
+    )
+
+
+def watch_list(spark, sf):
+    ids = (F.col("l_partkey") * 2).cast("string")
+    return bindings.table(spark, sf, "lineitem").select(ids.alias("itemid")).distinct()
+
+
+@query("P7_watched_items")
+def _(spark, sf):
+    watched = inventory.watched_items(bindings.catalog(spark, sf), watch_list(spark, sf))
+    return watched.select("itemid", "hostid", "key")
+
+
+@query("P7_watch_counts")
+def _(spark, sf):
+    return inventory.watch_counts(bindings.catalog(spark, sf), watch_list(spark, sf))
+
+
+@query("C1_host_text")
+def _(spark, sf):
+    return scope.assign_roles(bindings.hosts(spark, sf)).select("hostid", "host_text")
+
+
+@query("C2_host_roles")
+def _(spark, sf):
+    assigned = scope.assign_roles(bindings.hosts(spark, sf))
+    return assigned.select("hostid", joined_text("roles").alias("roles"))
+
+
+@query("C3_rule_scope")
+def _(spark, sf):
+    return scope.rule_scope(bindings.hosts(spark, sf)).orderBy(*scope.numeric_id_order(), "role")
+
+
+def listed_scope(spark, sf):
+    return scope.listed_scope(bindings.scope_table(spark, sf), bindings.hosts(spark, sf))
+
+
+@query("C4_listed_scope")
+def _(spark, sf):
+    return listed_scope(spark, sf)
+
+
+@query("C4_scope_counts")
+def _(spark, sf):
+    return scope.scope_counts(listed_scope(spark, sf))
+
+
+@query("C5_hosts_with_several_roles")
+def _(spark, sf):
+    return scope.hosts_with_several_roles(scope.rule_scope(bindings.hosts(spark, sf)))
+
+
+@query("C6_repeated_items")
+def _(spark, sf):
+    return scope.repeated_items(bindings.history(spark, sf))
+
+
+def routed(spark, sf):
+    size = F.col("p_size")
+    damaged = (
+        F.when(size == 1, F.lit(""))
+        .when(size == 2, F.concat(F.lit("x"), F.col("itemid")))
+        .otherwise(F.col("itemid"))
+    )
+    sizes = bindings.table(spark, sf, "part").select(
+        F.col("p_partkey").alias("ordinal"), "p_size"
+    )
+    metrics = bindings.catalog(spark, sf).join(sizes, "ordinal").select(
+        damaged.alias("itemid"), "key"
+    )
+    return scope.route_metrics(
+        metrics, inventory_items(spark, sf), bindings.scope_table(spark, sf)
+    )
+
+
+@query("C7_route_metrics")
+def _(spark, sf):
+    return routed(spark, sf)
+
+
+@query("C8_scope_summary")
+def _(spark, sf):
+    return scope.scope_summary(routed(spark, sf))
+
+
+@query("C8_role_counts")
+def _(spark, sf):
+    return scope.scoped_role_counts(routed(spark, sf))
+
+
+@query("C9_excluded_hosts")
+def _(spark, sf):
+    return scope.excluded_host_report(routed(spark, sf), bindings.hosts(spark, sf))
+
+
+@query("D1_keep_last")
+def _(spark, sf):
+    return semantics.keep_last_per_item(bindings.history(spark, sf)).select(
+        "itemid", "value", "clock", "position"
+    )
+
+
+@query("D2_units")
+def _(spark, sf):
+    return bindings.catalog(spark, sf).select(
+        "itemid", "units", semantics.normalised_units(F.col("units")).alias("normalized_units")
+    )
+
+
+def semantic(spark, sf):
+    return semantics.classify(bindings.catalog(spark, sf))
+
+
+@query("D3_classify")
+def _(spark, sf):
+    return semantic(spark, sf).select(
+        "itemid", *[f for f in semantics.VERDICT_FIELDS if f != "classification_reason"]
+    )
+
+
+@query("D4_enrich")
+def _(spark, sf):
+    return semantics.enrich(bindings.catalog(spark, sf)).select(
+        "itemid",
+        joined_text("preprocessing_types").alias("preprocessing_types"),
+        "master_itemid",
+        "interfaceid",
+    )
+
+
+@query("D5_semantic_summary")
+def _(spark, sf):
+    return semantics.semantic_summary(semantic(spark, sf))
+
+
+def audited(spark, sf):
+    """The classifier's output with some rows damaged, so that every validator fires."""
+    sizes = bindings.table(spark, sf, "part").select(F.col("p_partkey").alias("ordinal"), "p_size")
+    size = F.col("p_size")
+    none = F.lit(None).cast("string")
+    return semantic(spark, sf).join(sizes, "ordinal").withColumns(
+        {
+            "semantic_type": F.when(size == 11, "state").otherwise(F.col("semantic_type")),
+            "transformation": F.when(size == 12, "delta_rate").otherwise(F.col("transformation")),
+            "confidence": F.when(size == 13, none).otherwise(F.col("confidence")),
+            "exclude_reason": F.when(size == 20, none).otherwise(F.col("exclude_reason")),
+        }
+    )
+
+
+@query("D6_D7_semantic_issues")
+def _(spark, sf):
+    return semantics.semantic_issues(audited(spark, sf)).drop("host")
+
+
+@query("D7_issue_counts")
+def _(spark, sf):
+    return semantics.issue_counts(semantics.semantic_issues(audited(spark, sf)))
+
+
+@query("D8_duplicate_items")
+def _(spark, sf):
+    return scope.repeated_items(bindings.repeated_history(spark, sf))
+
+
+@query("D9_semantic_totals")
+def _(spark, sf):
+    return semantics.semantic_totals(semantic(spark, sf))
+
+
+@query("D9_usable_summary")
+def _(spark, sf):
+    return semantics.usable_summary(semantic(spark, sf))
+
+
+# Fields listed for items whose meaning is unknown.
+UNKNOWN_FIELDS = (
+    "itemid", "hostid", "host", "name", "key", "units", "value_type", "type", "delay", "history",
+    "trends", "status", "state", "error", "last_clock", "snmp_oid", "interfaceid",
+    "templateid", "semantic_type", "transformation", "canonical_metric", "confidence", "excluded",
+    "exclude_reason",
+)
+
+
+@query("P8_unknown_semantics")
+def _(spark, sf):
+    return inventory.unknown_semantics(semantic(spark, sf), UNKNOWN_FIELDS)
