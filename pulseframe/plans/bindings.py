@@ -16,7 +16,13 @@ def epoch(ts: Column) -> Column:
 
 
 def choose(subject: Column, mapping: dict[str, str]) -> Column:
-    return F.coalesce(*[F.when(subject == k, F.lit(v)) for k, v in mapping.items()])
+    pairs = [F.lit(x) for pair in mapping.items() for x in pair]
+    return F.try_element_at(F.create_map(*pairs), subject)
+
+
+def pick(values: list[str], slot: Column) -> Column:
+    """Constant-array lookup by a zero-based slot number."""
+    return F.element_at(F.array(*[F.lit(v) for v in values]), (slot + 1).cast("int"))
 
 
 INTERFACE_NAMES = {
@@ -95,12 +101,8 @@ def device_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per item of ``history`` with key text, units and status."""
     user, kind = F.col("user_id"), F.col("event_type")
-    key_text = F.coalesce(
-        *[
-            F.when(kind == k, F.concat(F.lit(head), user.cast("string"), F.lit(tail)))
-            for k, (head, tail) in ITEM_KEYS.items()
-        ]
-    )
+    head = choose(kind, {k: head for k, (head, _) in ITEM_KEYS.items()})
+    key_text = F.concat(head, user.cast("string"), F.lit("]"))
     return (
         table(spark, sf_dir, "events")
         .select("user_id", "event_type")
@@ -165,16 +167,11 @@ def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     part, slot = F.col("p_partkey"), F.col("p_partkey") % len(CATALOG_KEYS)
     number = part.cast("string")
-    key = F.coalesce(
-        *[
-            F.when(
-                slot == i,
-                F.lit(head) if tail is None else F.concat(F.lit(head), number, F.lit(tail)),
-            )
-            for i, (head, tail, _) in enumerate(CATALOG_KEYS)
-        ]
+    tail = pick([t or "" for _, t, _ in CATALOG_KEYS], slot)
+    key = F.concat(
+        pick([h for h, _, _ in CATALOG_KEYS], slot), F.when(tail == "", "").otherwise(number), tail
     )
-    units = F.coalesce(*[F.when(slot == i, F.lit(u)) for i, (_, _, u) in enumerate(CATALOG_KEYS)])
+    units = pick([u for _, _, u in CATALOG_KEYS], slot)
     return table(spark, sf_dir, "part").select(
         part.alias("ordinal"),
         number.alias("itemid"),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 
+from pulseframe.plans import feature_oracle
 from pulseframe.plans.bindings import CATALOG_KEYS
 
 # --- bindings -------------------------------------------------------------------------------------
@@ -479,3 +480,154 @@ SQL["P8_unknown_semantics"] = with_(*SEMANTIC) + """
 SELECT itemid, hostid, host, key, units, value_type, delay, status, state, error, last_clock,
        snmp_oid, interfaceid, semantic_type, transformation, canonical_metric, confidence, excluded,
        exclude_reason FROM semantic WHERE semantic_type = 'unknown'"""
+
+# --- feature store --------------------------------------------------------------------------------
+
+# Values are scaled so that rates are not tiny; both sides read the scaled values.
+SCALED = HISTORY.replace("ELSE value END AS value", "ELSE value * 1000000 END AS value")
+RECORDS = """records AS (
+  SELECT t.* FROM transformed t JOIN items i ON t.itemid = i.itemid WHERE i.status = '0')"""
+SQL["H1_expected_interface_metrics"] = with_(ITEMS) + """
+SELECT hostid, ifindex, count(DISTINCT canonical_metric) AS expected_count FROM items
+WHERE status = '0' GROUP BY 1, 2"""
+SQL["H2_history_routes"] = with_(SCALED, transform("history"), ITEMS, """routed AS (
+  SELECT t.value, t.counter_reset, CASE WHEN i.itemid IS NULL THEN 'missing_metadata'
+         WHEN i.canonical_metric = '' THEN 'missing_canonical'
+         WHEN i.canonical_metric = 'rate' THEN 'unrelated_records'
+         ELSE 'accepted_records' END AS counter
+  FROM transformed t LEFT JOIN (
+    SELECT itemid, CASE WHEN ifindex % 13 = 0 THEN '' WHEN ifindex % 17 = 0 THEN 'rate'
+           ELSE canonical_metric END AS canonical_metric FROM items WHERE status = '0') i
+  ON t.itemid = i.itemid)""") + """
+SELECT counter, count(*) AS records FROM routed GROUP BY 1
+UNION ALL SELECT 'null_nonreset_values', count(*) FROM routed
+WHERE counter = 'accepted_records' AND value IS NULL AND NOT counter_reset"""
+SQL["H3_deduplicate"] = with_(DUPS, transform("dups")) + """
+SELECT itemid, clock, coalesce(arg_min(value, ordinal) FILTER (value IS NOT NULL), NULL) AS value,
+       coalesce(min(ordinal) FILTER (value IS NOT NULL), min(ordinal)) AS ordinal,
+       count(*) > 1 AS duplicate_timestamp FROM transformed GROUP BY 1, 2"""
+SQL["H3_deduplication_counts"] = with_(DUPS) + """
+SELECT count_if(n > 1) AS duplicate_groups, sum(n - 1) AS duplicate_rows_removed,
+       count_if(v > 1) AS conflicting_duplicate_groups
+FROM (SELECT count(*) AS n, count(DISTINCT value) AS v FROM dups GROUP BY itemid, clock)"""
+SQL["H4_ifindex_features"] = with_(CATALOG) + r"""
+SELECT itemid, CASE
+    WHEN regexp_matches(key, '(if(HC)?(In|Out)Octets|if(In|Out)(UcastPkts|Errors|Discards)|if(Oper|Admin)Status)\.\d+', 'i')
+      THEN CAST(regexp_extract(key, '(?:Octets|Pkts|Errors|Discards|Status)\.(\d+)', 1) AS BIGINT)
+    WHEN regexp_matches(key, '\.\d+\]$')
+      THEN CAST(regexp_extract(key, '\.(\d+)\]$', 1) AS BIGINT) END AS ifindex
+FROM catalog"""
+SQL["H4v_ifindex_variants"] = with_(CATALOG) + r"""
+SELECT itemid,
+  CAST(nullif(regexp_extract(key, '\.(\d+)\]$', 1), '') AS BIGINT) AS raw_cross_metric,
+  CAST(coalesce(nullif(regexp_extract(key, '\.(\d+)\]$', 1), ''),
+                nullif(regexp_extract(key, '(\d+)\]$', 1), '')) AS BIGINT) AS cross_metric,
+  CAST(nullif(regexp_extract(key, 'if(?:In|Out)(?:Discards|Errors|Octets)\.(\d+)', 1), '')
+       AS BIGINT) AS temporal,
+  CAST(nullif(regexp_extract(key, 'if(?:HCInOctets|HCOutOctets|InErrors|OutErrors|InDiscards|OutDiscards|OperStatus)\.(\d+)', 1), '')
+       AS BIGINT) AS device_pattern,
+  CAST(nullif(regexp_extract(key, 'if(?:HCInOctets|HCOutOctets|InErrors|OutErrors|InDiscards|OutDiscards|OperStatus)\.(\d+)', 1), '')
+       AS BIGINT) AS correlation,
+  CAST(nullif(regexp_extract(key, 'if(?:HCInOctets|HCOutOctets|InErrors|OutErrors|InDiscards|OutDiscards|OperStatus)\.(\d+)', 1), '')
+       AS BIGINT) AS deep
+FROM catalog"""
+SQL["H5_series_counts"] = with_(SCALED, transform("history"), ITEMS, RECORDS) + """
+SELECT hostid, ifindex, count(*) AS records, count(DISTINCT canonical_metric) AS metrics
+FROM records GROUP BY 1, 2"""
+
+INTERFACE_BASE = (
+    SCALED, transform("history"), ITEMS, RECORDS,
+    *feature_oracle.ctes(
+        feature_oracle.INTERFACE_METRICS, "hostid, ifindex", "oper_status", False,
+        "SELECT hostid, ifindex, min(clock) AS lo, max(clock) AS hi FROM records GROUP BY 1, 2",
+    ),
+    """expected AS (SELECT hostid, ifindex, count(DISTINCT canonical_metric) AS expected_count
+  FROM items WHERE status = '0' GROUP BY 1, 2)""",
+)
+_LONG = f"w{feature_oracle.WINDOWS[-1]}r"
+
+
+def _alive(metrics: tuple[str, ...]) -> str:
+    return "(" + " OR ".join(f"{_LONG}.{m}_seen" for m in metrics) + ")"
+
+
+INTERFACE_FEATURES = f"""interface_features AS (
+  SELECT t AS "timestamp", hostid, ifindex, {', '.join(feature_oracle.interface_columns())}
+  FROM {feature_oracle.joined('hostid, ifindex')} JOIN expected USING (hostid, ifindex)
+  WHERE {_alive(feature_oracle.INTERFACE_METRICS)})"""
+
+
+def _interface_part(name: str, wanted) -> None:
+    columns = [c for c in feature_oracle.interface_columns() if wanted(c.rsplit(" AS ", 1)[1])]
+    SQL[name] = with_(*INTERFACE_BASE) + f"""
+SELECT t AS "timestamp", hostid, ifindex, {', '.join(columns)}
+FROM {feature_oracle.joined('hostid, ifindex')} JOIN expected USING (hostid, ifindex)
+WHERE {_alive(feature_oracle.INTERFACE_METRICS)}"""
+
+
+for _name, _wanted in feature_oracle.INTERFACE_PARTS.items():
+    _interface_part(_name, _wanted)
+SQL["H19_interface_aggregates"] = with_(
+    *INTERFACE_BASE, feature_oracle.interface_aggregates()
+) + "SELECT hostid, t AS \"timestamp\", interface_count, interfaces_with_oper_down, " + ", ".join(
+    feature_oracle.r3(c, c) for c in feature_oracle.AGGREGATES if not c.startswith("interface")
+) + ", interfaces_with_counter_reset FROM at_point"
+
+DEVICE_NAMES = {"in_bps": "cpu_pct", "out_bps": "memory_pct", "in_discard_rate": "icmp_loss_pct",
+                "out_discard_rate": "icmp_rtt_sec", "oper_status": "uptime"}
+DEVICE_RECORDS = "device_records AS (SELECT * REPLACE (CASE canonical_metric " + " ".join(
+    f"WHEN '{k}' THEN '{v}'" for k, v in DEVICE_NAMES.items()
+) + """ END AS canonical_metric),
+  value AS raw_value, NULL AS previous_raw_value, false AS counter_reset
+  FROM history WHERE ifindex % 3 = 0)"""
+
+
+def _device() -> tuple[str, ...]:
+    """Interface rows of every host, then device windows over the union of both observation sets."""
+    renamed = [
+        c.replace("records", "device_records").replace("ordered AS", "d_ordered AS")
+        .replace("FROM ordered", "FROM d_ordered").replace("samples", "d_samples")
+        .replace("grid", "d_grid")
+        for c in feature_oracle.ctes(
+            feature_oracle.DEVICE_METRICS, "hostid", "uptime", True,
+            """SELECT hostid, min(c) AS lo, max(c) AS hi FROM (
+                 SELECT hostid, clock AS c FROM records UNION ALL SELECT hostid, t FROM at_point)
+               GROUP BY 1""",
+        )
+    ]
+    for w in feature_oracle.WINDOWS:
+        for role in ("r", "b"):
+            renamed = [c.replace(f"w{w}{role} AS", f"d{w}{role} AS") for c in renamed]
+    return tuple(renamed)
+
+
+_DEVICE_SELECT = (
+    f"""SELECT t AS "timestamp", hostid, {', '.join(feature_oracle.device_columns())}
+  FROM {feature_oracle.joined('hostid')} LEFT JOIN at_point a USING (hostid, t)
+  CROSS JOIN (SELECT 0 AS expected_count) e
+  WHERE {_alive(feature_oracle.DEVICE_METRICS)} OR a.interface_count > 0"""
+)
+for _w in feature_oracle.WINDOWS:
+    for _role in ("r", "b"):
+        _DEVICE_SELECT = _DEVICE_SELECT.replace(f"w{_w}{_role}", f"d{_w}{_role}")
+DEVICE_BASE = (
+    *INTERFACE_BASE, feature_oracle.interface_aggregates(),
+    DEVICE_RECORDS, *_device(),
+)
+SQL["H20_H22_device_features"] = with_(*DEVICE_BASE) + _DEVICE_SELECT
+SQL["H23_host_identity"] = with_(HISTORY) + """
+SELECT hostid, host, host_name, device_role FROM history GROUP BY ALL"""
+_S = feature_oracle.suffix(feature_oracle.WINDOWS[0])
+SQL["H25_feature_audit"] = with_(*INTERFACE_BASE, INTERFACE_FEATURES) + f"""
+SELECT count(*) AS "rows", count(DISTINCT (hostid, ifindex)) AS entities,
+       349 AS feature_columns,
+       round(avg(metric_coverage_ratio_{_S}), 3) AS recent_coverage_mean,
+       min(metric_coverage_ratio_{_S}) AS recent_coverage_min,
+       max(metric_coverage_ratio_{_S}) AS recent_coverage_max,
+       round(avg(baseline_metric_coverage_ratio_{_S}), 3) AS baseline_coverage_mean,
+       min(baseline_metric_coverage_ratio_{_S}) AS baseline_coverage_min,
+       max(baseline_metric_coverage_ratio_{_S}) AS baseline_coverage_max,
+       count_if(coalesce(baseline_metric_coverage_ratio_{_S}, 0) = 0) AS warmup_rows,
+       count_if(counter_reset_flag_{_S} = 1) AS rows_with_counter_reset,
+       count_if(oper_status_change_flag_{_S} = 1) AS rows_with_status_change
+FROM interface_features"""

@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulseframe.operators import counters, inventory, scope, semantics
+from pulseframe.functions import ifindex as ifindexes
+from pulseframe.operators import counters, features, inventory, scope, semantics
 from pulseframe.plans import bindings
+from pulseframe.plans.feature_oracle import INTERFACE_PARTS
 from pulseframe.vocab import DISCARD_METRICS
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -330,3 +332,156 @@ UNKNOWN_FIELDS = (
 @query("P8_unknown_semantics")
 def _(spark, sf):
     return inventory.unknown_semantics(semantic(spark, sf), UNKNOWN_FIELDS)
+
+
+# --- feature store --------------------------------------------------------------------------------
+
+GRID = features.Grid(bucket_sec=3600, windows=(21600, 86400))
+SHORT = GRID.short
+
+
+def rounded(df: DataFrame, digits: int = 3) -> DataFrame:
+    """Doubles rounded for comparison, without negative zero."""
+    return df.select(
+        *[
+            # Adding zero turns a negative zero into zero.
+            (F.round(F.col(f"`{f.name}`"), digits) + F.lit(0.0)).alias(f.name)
+            if f.dataType.typeName() == "double"
+            else F.col(f"`{f.name}`")
+            for f in df.schema.fields
+        ]
+    )
+
+
+def scaled_history(spark, sf):
+    """History with values scaled so that rates are not tiny."""
+    is_counter = F.col("semantic_type") == "counter"
+    return bindings.history(spark, sf).withColumn(
+        "value", F.when(is_counter, F.col("value") * 1000000).otherwise(F.col("value"))
+    )
+
+
+def scoped_items(spark, sf):
+    return bindings.items(spark, sf).filter("status = '0'").withColumn("ordinal", F.lit(0))
+
+
+def feature_records(spark, sf):
+    history = counters.transform_counters(scaled_history(spark, sf))
+    items = features.item_map(scoped_items(spark, sf))
+    return features.deduplicate(features.accepted(features.route_history(history, items)))
+
+
+def interface_rows(spark, sf):
+    return features.interface_features(feature_records(spark, sf), scoped_items(spark, sf), GRID)
+
+
+def device_records(spark, sf):
+    """A third of the events read as device health, next to the interface history."""
+    health = bindings.device_history(spark, sf).filter("ifindex % 3 = 0")
+    return features.deduplicate(
+        health.select(
+            "itemid", "ordinal", "clock", "hostid", "host", "host_name", "device_role",
+            "canonical_metric", "ifindex", "value", F.col("value").alias("raw_value"),
+            F.lit(None).cast("double").alias("previous_raw_value"),
+            F.lit(False).alias("counter_reset"),
+        )
+    )
+
+
+def device_rows(spark, sf):
+    both = device_records(spark, sf).unionByName(feature_records(spark, sf))
+    return features.device_features(both, interface_rows(spark, sf), None, GRID)
+
+
+@query("H1_expected_interface_metrics")
+def _(spark, sf):
+    return features.expected_counts(scoped_items(spark, sf), "interface")
+
+
+@query("H2_history_routes")
+def _(spark, sf):
+    metric = (
+        F.when(F.col("ifindex") % 13 == 0, "")
+        .when(F.col("ifindex") % 17 == 0, "rate")
+        .otherwise(F.col("canonical_metric"))
+    )
+    items = features.item_map(scoped_items(spark, sf).withColumn("canonical_metric", metric))
+    history = counters.transform_counters(scaled_history(spark, sf))
+    return features.route_counts(features.route_history(history, items))
+
+
+@query("H3_deduplicate")
+def _(spark, sf):
+    rows = counters.transform_counters(bindings.repeated_history(spark, sf))
+    return features.deduplicate(rows.drop("duplicate_timestamp")).select(
+        "itemid", "clock", "value", "ordinal", "duplicate_timestamp"
+    )
+
+
+@query("H3_deduplication_counts")
+def _(spark, sf):
+    rows = bindings.repeated_history(spark, sf)
+    return features.deduplication_counts(features.deduplicate(rows))
+
+
+@query("H4_ifindex_features")
+def _(spark, sf):
+    return bindings.catalog(spark, sf).select(
+        "itemid", ifindexes.parse_ifindex(F.col("key")).alias("ifindex")
+    )
+
+
+@query("H4v_ifindex_variants")
+def _(spark, sf):
+    return bindings.catalog(spark, sf).select(
+        "itemid",
+        *[
+            ifindexes.parse_ifindex(F.col("key"), name).alias(name)
+            for name in ifindexes.VARIANTS
+            if name != "features"
+        ],
+    )
+
+
+@query("H5_series_counts")
+def _(spark, sf):
+    return features.interface_series(feature_records(spark, sf)).groupBy("hostid", "ifindex").agg(
+        F.count(F.lit(1)).alias("records"), F.countDistinct("canonical_metric").alias("metrics")
+    )
+
+
+NOT_COMPARED = ("@timestamp", "host", "host_name", "device_role", "entity_type")
+
+
+def _register_part(name, wanted):
+    @query(name)
+    def _(spark, sf):
+        rows = interface_rows(spark, sf)
+        columns = [c for c in features.feature_columns(rows) if wanted(c)]
+        return rounded(rows.select("timestamp", "hostid", "ifindex", *columns))
+
+
+for _name, _wanted in INTERFACE_PARTS.items():
+    _register_part(_name, _wanted)
+
+
+@query("H19_interface_aggregates")
+def _(spark, sf):
+    folded = features.aggregate_interfaces(interface_rows(spark, sf), SHORT)
+    return rounded(folded.withColumnRenamed("t", "timestamp"))
+
+
+@query("H20_H22_device_features")
+def _(spark, sf):
+    return rounded(device_rows(spark, sf).drop(*NOT_COMPARED))
+
+
+@query("H23_host_identity")
+def _(spark, sf):
+    return features.host_identity(bindings.history(spark, sf))
+
+
+@query("H25_feature_audit")
+def _(spark, sf):
+    audit = features.feature_audit(interface_rows(spark, sf), features.INTERFACE_KEY, SHORT)
+    return rounded(audit).drop("mean_finite_features")
