@@ -87,9 +87,9 @@ def repeated_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def device_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same events read as device health metrics, all direct."""
-    return history(spark, sf_dir).withColumns(
+def as_device_health(rows: DataFrame) -> DataFrame:
+    """The same history read as device health metrics, all direct."""
+    return rows.withColumns(
         {
             "canonical_metric": choose(F.split("itemid", "-")[1], DEVICE_NAMES),
             "semantic_type": F.lit("gauge"),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 
+from pulseframe.operators import mldata
 from pulseframe.plans import feature_oracle
 from pulseframe.plans.bindings import CATALOG_KEYS
 
@@ -631,3 +632,69 @@ SELECT count(*) AS "rows", count(DISTINCT (hostid, ifindex)) AS entities,
        count_if(counter_reset_flag_{_S} = 1) AS rows_with_counter_reset,
        count_if(oper_status_change_flag_{_S} = 1) AS rows_with_status_change
 FROM interface_features"""
+
+# --- matrices -------------------------------------------------------------------------------------
+
+_L = feature_oracle.suffix(feature_oracle.WINDOWS[1])
+
+
+def _named(names) -> list[str]:
+    return [n.replace("_15m", f"_{_L}").replace("_5m", f"_{_S}") for n in names]
+
+
+def _in(names) -> str:
+    return "(" + ", ".join(f"'{n}'" for n in names) + ")"
+
+
+GATED = f"""gated AS (
+  SELECT *, [metric_coverage_ratio_{_S} IS NULL, metric_coverage_ratio_{_S} < 0.35,
+             baseline_metric_coverage_ratio_{_S} IS NULL,
+             baseline_metric_coverage_ratio_{_S} < 0.15,
+             coalesce(baseline_metric_coverage_ratio_{_S}, 0) <= 0] AS broken
+  FROM interface_features),
+ eligible AS (SELECT * EXCLUDE (broken) FROM gated WHERE NOT list_contains(broken, true))"""
+STORE = (*INTERFACE_BASE, INTERFACE_FEATURES, GATED)
+SQL["I2_gate_counts"] = with_(*STORE) + """
+SELECT reason, count(*) AS "rows" FROM (
+  SELECT unnest(['missing_recent_coverage', 'recent_coverage_below_threshold',
+                 'missing_baseline_coverage', 'baseline_coverage_below_threshold',
+                 'no_previous_window_baseline']) AS reason, unnest(broken) AS hit FROM gated)
+WHERE hit GROUP BY 1"""
+_BARRED = _in([*mldata.IDENTIFIER_FIELDS, *_named(mldata.QUALITY_FIELDS)])
+_CONTRACT = _in(_named(mldata.CONTRACT))
+_COLUMNS = [c.rsplit(" AS ", 1)[1] for c in feature_oracle.interface_columns()]
+_CASTS = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in _COLUMNS)
+LONG = f"""long AS (
+  UNPIVOT (SELECT "timestamp", hostid, ifindex, {_CASTS} FROM eligible)
+  ON COLUMNS(* EXCLUDE ("timestamp", hostid, ifindex)) INTO NAME feature VALUE value)"""
+PRESENCE = f"""presence AS (
+  SELECT feature, count(*) AS present, (SELECT count(*) FROM eligible) AS "rows"
+  FROM long WHERE feature NOT IN {_BARRED} GROUP BY 1),
+ selected AS (SELECT feature FROM presence
+              WHERE feature IN {_CONTRACT} AND present / "rows" >= 0.15)"""
+SQL["I3_I4_feature_presence"] = with_(*STORE, LONG, PRESENCE) + """
+SELECT *, feature IN (SELECT feature FROM selected) AS selected FROM presence"""
+SPLIT = """split AS (
+  SELECT "timestamp", hostid, ifindex,
+         CASE WHEN row_number() OVER (ORDER BY "timestamp", hostid, CAST(ifindex AS VARCHAR))
+                   <= CAST(floor((SELECT count(*) FROM eligible) * 0.8) AS BIGINT)
+              THEN 'train' ELSE 'inference' END AS split FROM eligible)"""
+SQL["I1_I5_chronological_split"] = with_(*STORE, SPLIT) + "SELECT * FROM split"
+FITTED = """cells AS (
+  SELECT s."timestamp", s.hostid, s.ifindex, s.split, f.feature, l.value
+  FROM split s CROSS JOIN selected f
+  LEFT JOIN long l ON s."timestamp" = l."timestamp" AND s.hostid = l.hostid
+       AND s.ifindex = l.ifindex AND f.feature = l.feature),
+ medians AS (SELECT feature, coalesce(median(value) FILTER (split = 'train'), 0) AS median
+             FROM cells GROUP BY 1),
+ fitted AS (
+  SELECT feature, median, avg(coalesce(value, median)) AS mean,
+         stddev_pop(coalesce(value, median)) AS std
+  FROM cells JOIN medians USING (feature) WHERE split = 'train' GROUP BY 1, 2)"""
+SQL["I6_I7_fit_statistics"] = with_(*STORE, LONG, PRESENCE, SPLIT, FITTED) + f"""
+SELECT feature, {feature_oracle.r3('mean', 'mean')}, {feature_oracle.r3('std', 'std')},
+       {feature_oracle.r3('median', 'median')} FROM fitted"""
+SQL["I8_matrix"] = with_(*STORE, LONG, PRESENCE, SPLIT, FITTED) + f"""
+SELECT "timestamp", hostid, ifindex, split, feature,
+       {feature_oracle.r3("(coalesce(value, median) - mean) / CASE WHEN std < 1e-12 THEN 1 ELSE std END", "z")}
+FROM cells JOIN fitted USING (feature)"""

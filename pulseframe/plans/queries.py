@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulseframe.functions import ifindex as ifindexes
-from pulseframe.operators import counters, features, inventory, scope, semantics
-from pulseframe.plans import bindings
+from pulseframe.operators import counters, features, inventory, mldata, scope, semantics
+from pulseframe.plans import bindings, staging
 from pulseframe.plans.feature_oracle import INTERFACE_PARTS
 from pulseframe.vocab import DISCARD_METRICS
 
@@ -377,7 +377,7 @@ def interface_rows(spark, sf):
 
 def device_records(spark, sf):
     """A third of the events read as device health, next to the interface history."""
-    health = bindings.device_history(spark, sf).filter("ifindex % 3 = 0")
+    health = bindings.as_device_health(scaled_history(spark, sf)).filter("ifindex % 3 = 0")
     return features.deduplicate(
         health.select(
             "itemid", "ordinal", "clock", "hostid", "host", "host_name", "device_role",
@@ -485,3 +485,65 @@ def _(spark, sf):
 def _(spark, sf):
     audit = features.feature_audit(interface_rows(spark, sf), features.INTERFACE_KEY, SHORT)
     return rounded(audit).drop("mean_finite_features")
+
+
+# --- matrices -------------------------------------------------------------------------------------
+
+MATRIX = mldata.MatrixSettings(
+    recent_coverage=0.35, baseline_coverage=0.15, min_presence=0.15,
+    short=GRID.suffix(21600), long=GRID.suffix(86400),
+)
+
+
+def feature_store(spark, sf):
+    """The interface feature table as a written stage, rounded so that both sides read equal inputs."""
+    return staging.materialise(rounded(interface_rows(spark, sf)), "interface-features")
+
+
+def matrix_dataset(spark, sf):
+    return mldata.build_dataset(feature_store(spark, sf), "interface", MATRIX)
+
+
+@query("I2_gate_counts")
+def _(spark, sf):
+    return mldata.gate_counts(mldata.gate(rounded(interface_rows(spark, sf)), MATRIX))
+
+
+@query("I3_I4_feature_presence")
+def _(spark, sf):
+    eligible = mldata.gate(rounded(interface_rows(spark, sf)), MATRIX).filter(
+        "training_eligible = 1"
+    )
+    presence = mldata.feature_presence(eligible, mldata.candidate_columns(eligible, MATRIX))
+    contract = F.col("feature").isin(*MATRIX.named(mldata.CONTRACT))
+    enough = F.col("present") / F.col("rows") >= MATRIX.min_presence
+    return presence.withColumn("selected", contract & enough)
+
+
+@query("I1_I5_chronological_split")
+def _(spark, sf):
+    eligible = mldata.gate(feature_store(spark, sf), MATRIX).filter("training_eligible = 1")
+    return mldata.with_split(eligible, MATRIX).select("timestamp", "hostid", "ifindex", "split")
+
+
+@query("I6_I7_fit_statistics")
+def _(spark, sf):
+    data = matrix_dataset(spark, sf)
+    train = data.labelled.filter(F.col("split") == "train")
+    long = train.select(
+        *[mldata.imputed(f, data.scaling.medians).alias(f) for f in data.features]
+    ).unpivot([], data.features, "feature", "value")
+    medians = F.create_map(*[F.lit(x) for pair in data.scaling.medians.items() for x in pair])
+    return rounded(
+        long.groupBy("feature").agg(
+            F.avg("value").alias("mean"), F.stddev_pop("value").alias("std")
+        ).withColumn("median", medians[F.col("feature")])
+    )
+
+
+@query("I8_matrix")
+def _(spark, sf):
+    data = matrix_dataset(spark, sf)
+    keys = ["timestamp", "hostid", "ifindex", "split"]
+    scored = mldata.transform(data.labelled, data.features, data.scaling, keys)
+    return rounded(scored.unpivot(keys, data.features, "feature", "z"))
