@@ -11,9 +11,13 @@ Two documents link when ``den * |A & B| >= num * |A | B|`` for their shingle set
    nodes' texts verified exactly.
 
 Only classes are wanted, so no bucket of a shingle is expanded into all its pairs at first: each bucket's members meet
-its pivot (the node with most copies), and only what is then still in different classes is compared: pairs in buckets
-of up to ``SMALL`` members, and blocks of members against blocks in larger ones, where blocks that already lie in one
-class are skipped. This is exact: every pair in a bucket is in one class, or compared, or ruled out by the filters.
+its pivot (the node of the group with most copies), and only what is then still in different classes is compared:
+pairs in buckets of up to ``SMALL`` members, and blocks of members against blocks in larger ones, where blocks that
+already lie in one class are skipped. A pair reaches verification only if parity bitmaps allow it: each set has
+``BITS`` bits, each the parity of the elements that hash there, so two bitmaps differ in no more places than the sets
+do. A block passes on, for each two classes, the closest pairs first; while it holds some back, another round with
+the classes joined so far asks for more. This is exact: every pair of a bucket is in one class, or verified, or ruled
+out by a bound.
 
 Defined results: null, empty and blank texts have no shingle, link with nothing and are a class of their own; a text
 of fewer words than a shingle is one shingle. Rows that repeat an id are separate documents, whose class is the least
@@ -32,14 +36,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import common, graph
-from .textnum import Words, column_bytes, slices
+from .textnum import Words, column_bytes, mixed, slices
 
 #: Cells of the shingle sketch and values of one chunk of it.
 CELLS, _CHUNK = 1 << 18, 1 << 14
 #: Members of a bucket up to which its remaining pairs are listed; larger buckets are compared in blocks.
 SMALL = 48
-BLOCK = 1024
-_COLUMNS = 4096
+BLOCK = 2048
+#: Pairs of two classes that a block passes on in the first round; each further round takes 8 times as many.
+FIRST = 4
+#: Bits of the parity bitmap, and of the wide one that sets beyond ``WIDE_FROM`` elements have besides.
+BITS, WIDE_BITS, WIDE_FROM = 512, 8192, 1024
+#: Up to so many keys (16 bytes each) go to the texts by broadcast, counted first; more are joined by a shuffle.
+BROADCAST_KEYS = 50_000
 
 
 class Rule:
@@ -61,6 +70,10 @@ class Rule:
         """Least intersection of two linked sets of these sizes."""
         return F.ceil((a + b) * self.num / F.lit(self.num + self.den))
 
+    def differs(self, a: Column, b: Column) -> Column:
+        """Most elements by which two linked sets of these sizes differ."""
+        return a + b - 2 * self.overlap(a, b)
+
     def may_link(self, x: str, y: str) -> Column:
         """Size and position filter for aliases ``x`` and ``y``, which meet at their prefix places ``at``."""
         a, b = F.col(f"{x}.n"), F.col(f"{y}.n")
@@ -102,16 +115,20 @@ def rarity(docs: DataFrame, rule: Rule) -> np.ndarray:
     return np.minimum(np.log2(excess + 1), 31).astype(np.uint64)
 
 
-_PRINT_FIELDS = "n bigint, s1 bigint, s2 bigint, prefix array<bigint>"
+_PRINT_FIELDS = "n bigint, s1 bigint, s2 bigint, prefix array<bigint>, parity binary, wide array<bigint>"
+
+
+def parity_bits(elements: np.ndarray, bits: int) -> np.ndarray:
+    """Parity of the elements at each of ``bits`` places, as bytes."""
+    place = (mixed(elements) >> np.uint64(64 - bits.bit_length() + 1)).astype(np.int64)
+    return np.packbits((np.bincount(place, minlength=bits) & 1).astype(bool))
 _SIGN = np.random.default_rng(77).integers(1, 2**63, 2, dtype=np.uint64) | np.uint64(1)
 
 
 def _printed(rule: Rule, rank: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    from .textnum import mixed
-
     for batch in batches:
         texts = column_bytes(batch.column(1))
-        n, s1, s2, prefixes = [], [], [], []
+        n, s1, s2, prefixes, parity, wide = [], [], [], [], [], []
         for a, b in slices(texts):
             for own in Words(texts[a:b], lower=True).shingle_sets(rule.width):
                 n.append(len(own))
@@ -122,15 +139,18 @@ def _printed(rule: Rule, rank: np.ndarray, batches: Iterator[pa.RecordBatch]) ->
                 if size < len(key):
                     key = np.partition(key, size - 1)[:size]
                 prefixes.append(np.sort(key))
+                parity.append(parity_bits(own, BITS).tobytes())
+                wide.append(parity_bits(own, WIDE_BITS).view(np.int64) if len(own) > WIDE_FROM else None)
         offsets = np.concatenate(([0], np.cumsum([len(p) for p in prefixes]))).astype(np.int32)
         flat = np.concatenate(prefixes).view(np.int64) if prefixes else np.zeros(0, dtype=np.int64)
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column(0), batch.column(2), pa.array(n, pa.int64()),
                 *(pa.array(np.array(s, dtype=np.uint64).view(np.int64)) for s in (s1, s2)),
-                pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
+                pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)), pa.array(parity, pa.binary()),
+                pa.array(wide, pa.list_(pa.int64())),
             ],
-            names=["doc_id", "row_key", "n", "s1", "s2", "prefix"],
+            names=["doc_id", "row_key", "n", "s1", "s2", "prefix", "parity", "wide"],
         )
 
 
@@ -177,167 +197,191 @@ def shingles(text: str, width: int) -> frozenset:
 def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
     """Pairs (a, b) of nodes whose texts link. ``a`` is the side that recurs: its set is kept while it does."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    keys = wanted.join(nodes.select("node", "row_key", "n"), "node").select("node", "row_key")
+    keys = common.written(wanted.join(nodes.select("node", "row_key"), "node"), "keys")
+    side = F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
     texts = common.written(
-        docs.select("row_key", "text").join(keys, "row_key").dropDuplicates(["node"]).select("node", "text"), "texts"
+        docs.select("row_key", "text").join(side, "row_key").dropDuplicates(["node"]).select("node", "text"), "texts"
     )
     first = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
     both = first.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
     return both.select("a", "b", "text_a", "text_b").mapInArrow(lambda batches: _verified(rule, batches), "a bigint, b bigint")
 
 
-def _blocks_compared(rule: Rule):
-    """Links between two blocks of nodes of different classes: as many as join their classes, no more."""
+def parity_words(nodes: DataFrame, *more: str) -> DataFrame:
+    """(node, p0, p1, ...): the parity bitmaps as numbers."""
+    return nodes.select(
+        "node", *more, *[F.conv(F.hex(F.substring("parity", 8 * k + 1, 8)), 16, -10).cast("long").alias(f"p{k}") for k in range(BITS // 64)]
+    )
+
+
+def places_apart(x: str, y: str) -> Column:
+    """In how many places the bitmaps of aliases ``x`` and ``y`` differ."""
+    return sum((F.bit_count(F.col(f"{x}.p{k}").bitwiseXOR(F.col(f"{y}.p{k}"))) for k in range(BITS // 64)), F.lit(0))
+
+
+def near_enough(pairs: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
+    """Pairs (a, b, more) whose parity bitmaps differ in no more places than linked sets may."""
+    bits = parity_words(nodes, "n")
+    met = pairs.alias("p").join(bits.alias("x"), F.col("p.a") == F.col("x.node")).join(bits.alias("y"), F.col("p.b") == F.col("y.node"))
+    passed = met.filter(places_apart("x", "y") <= rule.differs(F.col("x.n"), F.col("y.n"))).select(
+        "a", "b", "more", F.col("x.n").alias("n_a"), F.col("y.n").alias("n_b")
+    )
+    # large sets fill the bitmap; the few pairs of them that are left meet by the wide one
+    large = nodes.filter(F.col("wide").isNotNull()).select("node", "wide")
+    both = passed.join(large.select(F.col("node").alias("b"), F.col("wide").alias("w_b")), "b", "left").join(
+        large.select(F.col("node").alias("a"), F.col("wide").alias("w_a")), "a", "left"
+    )
+    wide = F.aggregate(F.zip_with("w_a", "w_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
+    out = F.coalesce(wide > rule.differs(F.col("n_a"), F.col("n_b")), F.lit(False))
+    return both.filter(~out).select("a", "b", "more")
+
+
+def _blocks_compared(rule: Rule, most: int):
+    """Pairs of two blocks that may link and lie in different classes: the ``most`` closest of each two classes.
+
+    ``more`` tells that some were held back.
+    """
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        sets = [np.unique(np.frombuffer(x, dtype=np.uint64)) for x in rows["shingles"]]
-        n = np.array([len(x) for x in sets])
-        value, at = np.unique(np.concatenate(sets), return_inverse=True)
-        owner = np.repeat(np.arange(len(sets)), n)
+        bits = np.frombuffer(b"".join(rows["parity"]), dtype=np.uint64).reshape(len(rows), BITS // 64)
+        n, label, node = (rows[c].to_numpy() for c in ("n", "label", "node"))
         left, right = np.flatnonzero(rows["side"] == 0), np.flatnonzero(rows["side"] == 1)
         if not len(right):
             right = left
-        # a shingle of one node only adds nothing to an intersection
-        often = np.bincount(at) > 1
-        use = often[at]
-        column, owner = (np.cumsum(often) - 1)[at[use]], owner[use]
-        order = np.argsort(column, kind="stable")
-        column, owner = column[order], owner[order]
-        label, node = rows["label"].to_numpy(), rows["node"].to_numpy()
-        both = np.zeros((len(left), len(right)), dtype=np.int64)
-        for begin in range(0, int(often.sum()), _COLUMNS):
-            a, b = np.searchsorted(column, [begin, begin + _COLUMNS])
-            dense = np.zeros((len(sets), _COLUMNS), dtype=np.float32)
-            dense[owner[a:b], column[a:b] - begin] = 1
-            both += np.rint(dense[left] @ dense[right].T).astype(np.int64)
-        links = rule.den * both >= rule.num * (n[left][:, None] + n[right][None, :] - both)
-        x, y = np.nonzero(links & (label[left][:, None] != label[right][None, :]))
-        found = pd.DataFrame({"a": node[left[x]], "b": node[right[y]], "p": label[left[x]], "q": label[right[y]]})
-        return found.drop_duplicates(["p", "q"])[["a", "b"]]
+        found = []
+        for i in left:
+            apart = np.bitwise_count(bits[right] ^ bits[i]).sum(axis=1, dtype=np.int64)
+            total = n[right] + n[i]
+            limit = total - 2 * -(-rule.num * total // (rule.num + rule.den))
+            sized = rule.den * np.minimum(n[right], n[i]) >= rule.num * np.maximum(n[right], n[i])
+            near = np.flatnonzero(sized & (apart <= limit) & (label[right] != label[i]))
+            for j in near:
+                k = right[j]
+                a, b = (i, k) if label[i] < label[k] else (k, i)
+                found.append((label[a], label[b], apart[j], node[a], node[b]))
+        out = pd.DataFrame(found, columns=["p", "q", "apart", "a", "b"], dtype="int64").drop_duplicates()
+        out = out.sort_values(["p", "q", "apart", "a", "b"])
+        place = out.groupby(["p", "q"]).cumcount()
+        out = out.assign(more=(out.groupby(["p", "q"])["a"].transform("size") > most))
+        return out[place < most][["a", "b", "more"]]
 
     return run
 
 
-def _hashed_sets(rule: Rule):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = column_bytes(batch.column(1))
-            sets = [s.tobytes() for a, b in slices(texts) for s in Words(texts[a:b], lower=True).shingle_sets(rule.width)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["node", "shingles"])
-
-    return run
+def large_bucket_pairs(rest: DataFrame, nodes: DataFrame, rule: Rule, most: int) -> DataFrame:
+    """(a, b, more) across classes inside large buckets (``rest``: token, node, label of their members).
 
-
-def large_bucket_links(rest: DataFrame, nodes: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
-    """Links across classes inside large buckets (``rest``: token, node, label of their members).
-
-    Buckets that share members are compared together, so each node's set travels once for every block it meets.
-    Members stand in order of class; two blocks of one same class are left out.
+    Members of a class with a block's worth in the bucket stand in blocks of that class alone, the others in shared
+    ones; two blocks of one same class never meet.
     """
-    pivots = rest.groupBy("token").agg(F.min("node").alias("pivot"))
-    edges = rest.join(pivots, "token").select(F.col("node").alias("a"), F.col("pivot").alias("b"))
-    families = graph.components(edges, "families").withColumnRenamed("component", "family")
-    labels = rest.select("node", "label").distinct()
-    members = families.join(labels, "node")
-    # place of each class inside its family from counts, so that no family is ordered in one task
-    sizes = members.groupBy("family", "label").agg(F.count(F.lit(1)).alias("size"))
-    blocked = members.join(sizes, ["family", "label"]).withColumn("parts", F.ceil(F.col("size") / BLOCK).cast("int"))
-    # a class larger than a block has blocks of its own; the small classes of a family share hashed blocks
-    small = sizes.filter(F.col("size") < BLOCK).groupBy("family").agg(F.ceil(F.sum("size") / BLOCK).cast("int").alias("shared"))
-    blocked = blocked.join(small, "family", "left").withColumn(
-        "block",
-        F.when(F.col("size") >= BLOCK, F.concat_ws(":", F.lit("own"), "label", F.pmod(F.xxhash64("node"), F.col("parts")).cast("string"))).otherwise(
-            F.concat_ws(":", F.lit("shared"), F.pmod(F.xxhash64("label"), F.col("shared")).cast("string"))
-        ),
-    ).select("family", "node", "label", "block", F.when(F.col("size") >= BLOCK, F.col("label")).alias("only"))
-    placed = common.written(blocked, "blocks")
-    blocks = placed.select("family", "block", "only").distinct()
+    sizes = rest.groupBy("token", "label").agg(F.count(F.lit(1)).alias("members"))
+    shared = sizes.filter(F.col("members") < BLOCK).groupBy("token").agg(F.ceil(F.sum("members") / BLOCK).cast("int").alias("shared"))
+    large = F.col("members") >= BLOCK
+    own = F.concat_ws(":", F.lit("own"), "label", F.pmod(F.xxhash64("node"), F.ceil(F.col("members") / BLOCK)).cast("string"))
+    among = F.concat_ws(":", F.lit("shared"), F.pmod(F.xxhash64("label"), F.col("shared")).cast("string"))
+    placed = rest.join(sizes, ["token", "label"]).join(shared, "token", "left").select(
+        "token", "node", "label", F.when(large, own).otherwise(among).alias("block"), F.when(large, F.col("label")).alias("only")
+    )
+    placed = common.written(placed.join(nodes.select("node", "n", "parity"), "node"), "blocks")
+    blocks = placed.select("token", "block", "only").distinct()
     x, y = blocks.alias("x"), blocks.alias("y")
-    meet = x.join(y, F.col("x.family") == F.col("y.family")).filter(
+    meet = x.join(y, F.col("x.token") == F.col("y.token")).filter(
         (F.col("x.block") <= F.col("y.block")) & ~F.coalesce(F.col("x.only") == F.col("y.only"), F.lit(False))
-    ).select(F.col("x.family").alias("family"), F.col("x.block").alias("i"), F.col("y.block").alias("j"))
-    keys = placed.join(nodes.select("node", "row_key"), "node")
-    sets = common.written(
-        keys.select("node", "row_key").join(docs.select("row_key", "text"), "row_key").dropDuplicates(["node"]).select("node", "text")
-        .mapInArrow(_hashed_sets(rule), "node bigint, shingles binary"), "sets",
+    ).select(F.col("x.token").alias("token"), F.col("x.block").alias("i"), F.col("y.block").alias("j"))
+    sides = meet.select("token", "i", "j", F.col("i").alias("block"), F.lit(0).alias("side")).unionByName(
+        meet.filter("i <> j").select("token", "i", "j", F.col("j").alias("block"), F.lit(1).alias("side"))
     )
-    sides = meet.select("family", "i", "j", F.col("i").alias("block"), F.lit(0).alias("side")).unionByName(
-        meet.filter("i <> j").select("family", "i", "j", F.col("j").alias("block"), F.lit(1).alias("side"))
+    dealt = sides.join(placed, ["token", "block"]).select("token", "i", "j", "side", "node", "label", "n", "parity")
+    return dealt.groupBy("token", "i", "j").applyInPandas(_blocks_compared(rule, most), "a bigint, b bigint, more boolean")
+
+
+def bucketed(prints: DataFrame, leads: DataFrame, group: list[str]) -> DataFrame:
+    """(token, node, n, at): the leads of groups that share a prefix shingle with another group."""
+    prefixes = prints.filter("n > 0").groupBy(*group).agg(F.first("prefix").alias("prefix")).join(leads.select(*group, "node"), group)
+    # size and place travel in one number: these rows are the widest shuffle of the join
+    tokens = prefixes.select("node", "n", F.posexplode("prefix").alias("at", "token")).select(
+        "token", "node", F.shiftleft("n", 31).bitwiseOR(F.col("at").cast("long")).alias("place")
     )
-    dealt = sides.join(placed.join(sets, "node"), ["family", "block"]).select("family", "i", "j", "side", "node", "label", "shingles")
-    return dealt.groupBy("family", "i", "j").applyInPandas(_blocks_compared(rule), "a bigint, b bigint")
+    shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("members")).filter("members > 1").select("token")
+    return common.written(tokens.join(shared, "token"), "buckets").select(
+        "token", "node", F.shiftright("place", 31).alias("n"), F.col("place").bitwiseAND(F.lit((1 << 31) - 1)).alias("at")
+    )
+
+
+def apart(buckets: DataFrame, members: DataFrame, nodes: DataFrame, label: DataFrame) -> DataFrame:
+    """(token, node, label, n, at, size) of buckets, and of groups, whose members are in different classes.
+
+    Groups are expanded here: every member is where its lead is. Two nodes alone have met already.
+    """
+    known = members.join(label, "node", "left").select("lead", "node", "n", F.coalesce("component", "node").alias("label"))
+    spread = buckets.select("token", F.col("node").alias("lead"), "at").join(known, "lead").select("token", "node", "label", "n", "at")
+    # a group is a bucket as well; its name cannot be a shingle's, whose two highest bits are a rank's
+    inside = known.select(F.concat(F.lit("g"), F.col("lead")).alias("token"), "node", "label", "n", F.lit(0).cast("long").alias("at"))
+    both = spread.withColumn("token", F.col("token").cast("string")).unionByName(inside)
+    open_ = both.groupBy("token").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("size")
+    ).filter("low <> high and size > 2").select("token", "size")
+    return common.written(both.join(open_, "token"), "rest")
 
 
 def classes(docs: DataFrame, rule: Rule) -> DataFrame:
-    """(doc_id, row_key, n, component_id) for every row of ``docs`` (doc_id, text)."""
+    """(doc_id, row_key, n, component, component_id) for every row of ``docs`` (doc_id, text)."""
     docs = prepared(docs)
-    prints = fingerprints(docs, rule)
-    signature = ["n", "s1", "s2"]
+    prints = fingerprints(docs, rule).withColumns({"g1": F.xxhash64("prefix"), "g2": F.xxhash64(F.lit("again"), "prefix")})
+    signature, group = ["n", "s1", "s2"], ["n", "g1", "g2"]
     nodes = common.written(
-        prints.filter("n > 0").groupBy(*signature)
-        .agg(F.min("doc_id").alias("least"), F.min("row_key").alias("row_key"), F.count(F.lit(1)).alias("copies"), F.first("prefix").alias("prefix"))
+        prints.filter("n > 0").groupBy(*signature, "g1", "g2")
+        .agg(F.min("doc_id").alias("least"), F.min("row_key").alias("row_key"), F.count(F.lit(1)).alias("copies"), F.first("parity").alias("parity"), F.first("wide").alias("wide"))
         .withColumn("node", F.monotonically_increasing_id()),
         "nodes",
     )
     # groups: equal prefix and size; the member with most copies leads
     weight = F.struct("copies", (-F.col("node")).alias("first"), F.col("node").alias("node"))
-    group = ["n", "g1", "g2"]
-    grouped = nodes.withColumns({"g1": F.xxhash64("prefix"), "g2": F.xxhash64(F.lit("again"), "prefix")})
-    groups = grouped.groupBy(*group).agg(
-        F.max(weight).alias("lead"), F.count(F.lit(1)).alias("members"), F.first("prefix").alias("prefix")
-    ).withColumn("node", F.col("lead.node"))
-    groups = common.written(groups.select(*group, "node", F.col("lead.copies").alias("copies"), "members", "prefix"), "groups")
-    inside = grouped.join(groups.filter("members > 1").select(*group, F.col("node").alias("lead")), group).select(
-        F.col("lead").alias("a"), F.col("node").alias("b")
-    ).filter("a <> b")
-
-    tokens = groups.select("node", "n", "copies", F.posexplode("prefix").alias("at", "token"))
-    shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
-    buckets = common.written(tokens.join(shared, "token"), "buckets")
-    pivots = buckets.groupBy("token").agg(F.max(F.struct("copies", (-F.col("node")).alias("first"), "node", "n", "at")).alias("p")).select(
+    leads = common.written(
+        nodes.groupBy(*group).agg(F.max(weight).alias("lead")).select(*group, F.col("lead.node").alias("node"), F.col("lead.copies").alias("copies")),
+        "leads",
+    )
+    members = nodes.select(*group, "node").join(leads.select(*group, F.col("node").alias("lead")), group).select("lead", "node", "n")
+    inside = members.filter("lead <> node").select(F.col("lead").alias("a"), F.col("node").alias("b"))
+
+    buckets = bucketed(prints, leads, group)
+    best = F.max(F.struct("copies", (-F.col("node")).alias("first"), "node", "n", "at")).alias("p")
+    pivots = buckets.join(leads.select("node", "copies"), "node").groupBy("token").agg(best).select(
         "token", F.col("p.node").alias("node"), F.col("p.n").alias("n"), F.col("p.at").alias("at")
     )
     to_pivot = pivots.alias("x").join(buckets.alias("y"), F.col("x.token") == F.col("y.token")).filter(
         (F.col("x.node") != F.col("y.node")) & rule.may_link("x", "y")
     ).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
     # the pivots recur on the left, so their sets are built once for a run of rows
-    tried = common.written(inside.unionByName(to_pivot).distinct(), "pairs")
+    tried = common.written(near_enough(inside.unionByName(to_pivot).distinct().withColumn("more", F.lit(False)), nodes, rule).drop("more"), "pairs")
     links = common.written(verified(tried, nodes, docs, rule), "links")
     label = graph.components(links)
 
-    # what is still apart: members of one bucket in different classes. A group's other members are at their lead's
-    # bucket as well, so groups are expanded here.
-    members = grouped.join(groups.select(*group, F.col("node").alias("lead")), group).select("lead", "node", "n")
-    known = members.join(label, "node", "left").select("lead", "node", F.coalesce("component", "node").alias("label"))
-    spread = buckets.withColumnRenamed("node", "lead").join(known, "lead").select("token", "node", "label", "n", "at")
-    mixed_tokens = spread.groupBy("token").agg(
-        F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("size")
-    ).filter("low <> high and size > 2").select("token", "size")
-    rest = common.written(spread.join(mixed_tokens, "token"), "rest")
-    # members of groups whose lead did not link with all of them and that share no bucket with other groups
-    alone = known.groupBy("lead").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("size")).filter(
-        "low <> high and size > 2"
-    ).select("lead", "size")
-    own = known.join(alone, "lead").join(nodes.select("node", "n"), "node").select(
-        (-F.col("lead") - 1).alias("token"), "node", "label", "n", F.lit(0).alias("at"), "size"
-    )
-    rest = rest.unionByName(own)
-    few = rest.filter(F.col("size") <= SMALL)
-    pairs = few.alias("x").join(few.alias("y"), F.col("x.token") == F.col("y.token")).filter(
-        (F.col("x.node") < F.col("y.node")) & (F.col("x.label") != F.col("y.label")) & rule.may_link("x", "y")
-    ).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-    untried = common.written(
-        pairs.join(tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), "pairs"
-    )
-    more = links
-    if not untried.isEmpty():
-        more = more.unionByName(verified(untried, nodes, docs, rule))
-    many = common.written(rest.filter(F.col("size") > SMALL).select("token", "node", "label"), "large")
-    if not many.isEmpty():
-        more = more.unionByName(large_bucket_links(many, nodes, docs, rule))
-    final = graph.components(common.written(more, "links")) if more is not links else label
-
-    component = nodes.select(*signature, "node", "least").join(final, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    most = FIRST
+    while True:
+        rest = apart(buckets, members, nodes, label)
+        # the bitmaps are part of the join's condition: what they rule out is never a row
+        few = rest.filter(F.col("size") <= SMALL).join(parity_words(nodes), "node")
+        pairs = few.alias("x").join(few.alias("y"), F.col("x.token") == F.col("y.token")).filter(
+            (F.col("x.node") < F.col("y.node")) & (F.col("x.label") != F.col("y.label")) & rule.may_link("x", "y")
+            & (places_apart("x", "y") <= rule.differs(F.col("x.n"), F.col("y.n")))
+        ).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct().withColumn("more", F.lit(False))
+        many = rest.filter(F.col("size") > SMALL).select("token", "node", "label")
+        if not many.isEmpty():
+            pairs = pairs.unionByName(large_bucket_pairs(many, nodes, rule, most))
+        ordered = near_enough(pairs, nodes, rule).groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.max("more").alias("more"))
+        known = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.lit(True).alias("known")).distinct()
+        listed = common.written(ordered.join(known, ["a", "b"], "left"), "pairs")
+        untried = listed.filter("known is null").select("a", "b")
+        if not untried.isEmpty():
+            links = common.written(links.unionByName(verified(untried, nodes, docs, rule)), "links")
+            label = graph.components(links)
+            tried = tried.unionByName(untried)
+        if listed.filter("more").isEmpty():
+            break
+        most *= 8
+
+    component = nodes.select(*signature, "node", "least").join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = component.groupBy("component").agg(F.min("least").alias("component_id"))
     named = component.join(least, "component").select(*signature, "component", "component_id")
     linked = prints.filter("n > 0").select("doc_id", "row_key", *signature).join(named, signature)
