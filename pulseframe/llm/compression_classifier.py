@@ -4,7 +4,8 @@ A document's bytes are cut into pieces of ``PIECE`` bytes, each compressed alone
 texts are judged all over and not only while the window is young. The difference of the two total sizes over the raw size,
 (bad - good) / raw, goes through a logistic curve fitted on labelled rows that made no dictionary.
 
-Fitting uses a bounded sample: the pieces of labelled text with the smallest hashes, at most ``SAMPLE_PIECES`` of each
+Fitting uses a bounded sample: the ``SAMPLE_ROWS`` labels of each class with the smallest hashes, whose ids are few
+enough to go to the texts by broadcast, so that no text is shuffled; of those rows the pieces of labelled text with the smallest hashes, at most ``SAMPLE_PIECES`` of each
 class, and the differences of at most ``CALIBRATION_ROWS`` rows. Everything else covers all rows.
 
 Defined results: null and empty texts have difference 0 and the score the curve gives there; rows without label or
@@ -30,6 +31,7 @@ PIECE = 2048
 LEVEL = 3
 DICTIONARY_BYTES = 96 * 1024
 SAMPLE_PIECES = 3000
+SAMPLE_ROWS = 4000
 CALIBRATION_ROWS = 20_000
 THRESHOLD = 0.3
 
@@ -139,6 +141,13 @@ def train(labelled: DataFrame, text: str = "text", label: str = "label", key: st
     return model
 
 
+def sampled_labels(labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
+    """At most ``rows`` labels (doc_id, label) of each class, by hash of the id."""
+    order = [F.xxhash64(F.col("doc_id").cast("string")), "doc_id"]
+    good, bad = (labels.filter(F.col("label") == k).orderBy(*order).limit(rows) for k in (1, 0))
+    return good.unionByName(bad)
+
+
 def score(docs: DataFrame, model: Model, text: str = "text", out: str = "score") -> DataFrame:
     found = differences(docs.drop(out), model, text, "difference")
     curve = 1 / (1 + F.exp(-F.greatest(F.lit(-60.0), F.least(F.lit(60.0), F.col("difference") * model.slope + model.offset))))
@@ -149,7 +158,8 @@ def query(spark, sf_dir):
     docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = common.id_remainder("doc_id", 5) == 0
     labels = common.table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
-    learn = docs.filter(~held_out).join(labels.filter(~held_out), "doc_id")
+    # at most 2 * SAMPLE_ROWS rows of two numbers
+    learn = docs.join(F.broadcast(sampled_labels(labels.filter(~held_out))), "doc_id")
     scored = score(docs, train(learn))
     return scored.select(
         "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted")
