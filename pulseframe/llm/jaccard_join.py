@@ -176,7 +176,8 @@ def _verified(rule: Rule, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
     known: dict[str, frozenset] = {}
     for batch in batches:
         left, right = [], []
-        for a, b, x, y in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        for k in range(batch.num_rows):  # one pair at a time: two long texts are enough to hold
+            a, b, x, y = (c[k].as_py() for c in batch.columns)
             if x not in known:
                 known = {x: shingles(x, rule.width)}
             one, two = known[x], shingles(y, rule.width)
