@@ -9,11 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a private one only where none is set."""
+    """The folder named by ``spark.checkpoint.dir``; a private one only in local mode, a cluster without it is refused."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
     context = spark.sparkContext
+    if context.getCheckpointDir() is None and (not context.master.startswith("local") or context.master.startswith("local-cluster")):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(tempfile.mkdtemp(prefix="pulseframe-"))
     return context.getCheckpointDir()
