@@ -6,6 +6,8 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
@@ -15,6 +17,9 @@ from pyspark.sql import functions as F
 
 #: Partial sums of one array chunk are added in at most this many groups before the last addition.
 SUM_SALTS = 64
+#: Bytes of one Arrow batch to a Python worker. Sender and receiver hold each batch more than once, so Spark's own bound
+#: of 64 MB takes hundreds of MB of an executor when rows carry long texts. A longer row is a batch of its own.
+BATCH_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,11 +60,24 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Arrow batches of at most ``BATCH_BYTES`` for what is run inside; the session's setting returns afterwards."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write a table to shared storage and read it back: cuts lineage and survives lost executors."""
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.parquet(path)
+    with small_batches(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
