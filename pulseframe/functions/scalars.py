@@ -31,9 +31,14 @@ def finite(col: Column) -> Column:
 
 
 def close_to(a: Column, b: Column, tolerance: float = CLOSE_TOLERANCE) -> Column:
-    """Relative-or-absolute tolerant equality; false when either side is null."""
+    """Relative-or-absolute tolerant equality; false when either side is null or not finite."""
     allowed = F.greatest(F.lit(tolerance) * F.greatest(F.abs(a), F.abs(b)), F.lit(tolerance))
-    return F.coalesce(F.abs(a - b) <= allowed, F.lit(False))
+    return F.coalesce(F.abs(a - b) <= allowed, F.lit(False)) & is_finite(a - b)
+
+
+def same_number(a: Column, b: Column) -> Column:
+    """Tolerant equality that also holds between two nulls and between two equal values that are not finite."""
+    return close_to(a, b) | a.eqNullSafe(b)
 
 
 def guarded_ratio(numerator: Column, denominator: Column) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulseframe.functions.scalars import close_to, finite, is_finite, tagged
+from pulseframe.functions.scalars import close_to, finite, floor_bucket, is_finite, same_number, tagged
 from pulseframe.operators.quantiles import distribution
 from pulseframe.operators.semantics import expected_transformation
 from pulseframe.operators.timeline import attach_clock_context, with_neighbours
@@ -50,7 +50,6 @@ REQUIRED_FIELDS = (
     "transformation",
     "canonical_metric",
 )
-DETAIL_LIMIT = 100
 ORDINAL_SLICE = 1_000_000
 
 
@@ -162,8 +161,9 @@ def recomputation_issues(transformed: DataFrame, require_null_delta: bool = Fals
 
 
 def direct_value_issues(transformed: DataFrame) -> DataFrame:
-    direct = transformed.filter(F.col("semantic_type") != "counter")
-    differs = ~close_to(F.col("value"), F.col("raw_value"))
+    """Rows passed through whose value is not the raw one; a row without a raw value has nothing to keep."""
+    direct = transformed.filter((F.col("transformation") == "direct") & F.col("raw_value").isNotNull())
+    differs = ~same_number(F.col("value"), F.col("raw_value"))
     return issues_of(direct, [("direct_value_mismatch", differs)])
 
 
@@ -173,18 +173,22 @@ def non_finite_issues(transformed: DataFrame) -> DataFrame:
 
 
 def preservation_issues(raw: DataFrame, transformed: DataFrame) -> DataFrame:
-    """Every transformed (item, clock) has exactly one raw record with the same value."""
+    """Every transformed (item, clock) has exactly one raw record with the same value.
+
+    Rows without an item or a clock cannot be looked up and are left to the other checks.
+    """
     candidates = raw.groupBy("itemid", "clock").agg(
         F.count(F.lit(1)).alias("candidates"), F.min_by("value", "ordinal").alias("first_raw")
     )
-    joined = transformed.join(candidates, ["itemid", "clock"], "left")
+    placed = transformed.filter(F.col("itemid").isNotNull() & F.col("clock").isNotNull())
+    joined = placed.join(candidates, ["itemid", "clock"], "left")
     found = F.col("candidates").isNotNull()
     return issues_of(
         joined,
         [
             ("missing_raw_record", ~found),
             ("multiple_raw_records", F.col("candidates") > 1),
-            ("raw_value_mismatch", found & ~close_to(F.col("raw_value"), F.col("first_raw"))),
+            ("raw_value_mismatch", found & ~same_number(F.col("raw_value"), F.col("first_raw"))),
         ],
     )
 
@@ -208,10 +212,23 @@ def issue_totals(issues: DataFrame) -> DataFrame:
     return issues.groupBy("issue", "severity").agg(F.count(F.lit(1)).alias("issues"))
 
 
-def issue_details(issues: DataFrame, limit: int = DETAIL_LIMIT) -> DataFrame:
-    """First records per issue type in file order (the rank filter is applied before the shuffle)."""
-    order = Window.partitionBy("issue").orderBy("ordinal", "itemid", "clock")
-    return issues.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= limit)
+def issue_details(issues: DataFrame) -> DataFrame:
+    """Every issue with its rank among those of its type in file order.
+
+    Ranks are counted inside slices of the ordinal and shifted by the totals of the slices before, so that an
+    issue which hits every row is spread over tasks.
+    """
+    sliced = issues.withColumn("_slice", floor_bucket(F.col("ordinal"), ORDINAL_SLICE))
+    earlier = Window.partitionBy("issue").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    totals = sliced.groupBy("issue", "_slice").agg(F.count(F.lit(1)).alias("_n")).select(
+        F.col("issue").alias("_issue"), F.col("_slice").alias("_at"),
+        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"),
+    )
+    inside = F.row_number().over(Window.partitionBy("issue", "_slice").orderBy("ordinal", "itemid", "clock"))
+    joined = sliced.withColumn("_rank", inside).join(
+        totals, F.col("issue").eqNullSafe(F.col("_issue")) & F.col("_slice").eqNullSafe(F.col("_at"))
+    )
+    return joined.select(*issues.columns, (F.col("_rank") + F.col("_before")).alias("rank"))
 
 
 def verdict(totals: DataFrame) -> DataFrame:
@@ -229,6 +246,7 @@ def type_counts(transformed: DataFrame) -> DataFrame:
     )
     return (
         transformed.select(F.explode(pairs).alias("p"))
+        .filter((F.col("p.dimension") != "canonical_metric") | (F.coalesce("p.value", F.lit("")) != ""))
         .groupBy("p.dimension", "p.value")
         .agg(F.count(F.lit(1)).alias("records"))
     )

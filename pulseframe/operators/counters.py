@@ -131,13 +131,15 @@ def detect_decreases(
     """Events where a series falls from one clock to the next.
 
     At a repeated clock only the first row can be an event.  The baseline carried to the next clock is
-    the first row (``keep_first``) or the last row (``take_last``).
+    the first row (``keep_first``) or the last row (``take_last``).  Records without a full key belong to no series
+    and are skipped.
     """
     if duplicates not in ("keep_first", "take_last"):
         raise ValueError(f"unknown duplicate policy: {duplicates}")
     baseline = "first_value" if duplicates == "keep_first" else "last_value"
     wanted = [a for a in attributes if a not in key]
-    points = per_clock(samples.filter(F.col(value).isNotNull()), key, value, wanted)
+    named = samples.filter(F.col(value).isNotNull()).na.drop(subset=list(key))
+    points = per_clock(named, key, value, wanted)
     chained = with_neighbours(points, key, ["clock", baseline])
     current, former = F.col("first_value"), F.col("previous")[baseline]
     fall = former - current

@@ -385,15 +385,15 @@ def _window_rows(
         .withColumn("_end", F.max("_last").over(Window.partitionBy(*key)))
         .drop("_last")
     )
-    # Every cell fans out to all windows that contain it, so this exchange keeps the session's full
-    # partition count instead of being coalesced by its (much smaller) input size.
-    width = int(samples.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     series = Window.partitionBy(*key, "_slice", "metric")
-    former = F.lag("t_last").over(series.orderBy("t"))
+    # A cell whose samples are all null has no state; the change is against the last cell that has one.
+    former = F.last("t_last", ignorenulls=True).over(
+        series.orderBy("t").rowsBetween(Window.unboundedPreceding, -1)
+    )
     crossed = F.col("t_first") < former if falls_only else F.col("t_first") != former
     placed = (
         cells.withColumn("_slice", F.explode(_slices(F.col("t"), grid)))
-        .repartition(width, *key, "_slice")
+        .repartition(*key, "_slice")
         .join(ends, [*key, "_slice"])
         .withColumn("mean", F.col("sum") / F.nullif(F.col("n"), F.lit(0)))
         .select(
@@ -444,7 +444,7 @@ def _window_rows(
             ).alias("_m"),
         ).select(*key, "_slice", "t", "_m.code", "_m.last", F.col("t").alias("cell"))
         spans = spans.unionByName(
-            marker_rows.repartition(width, *key, "_slice"), allowMissingColumns=True
+            marker_rows.repartition(*key, "_slice"), allowMissingColumns=True
         )
         codes += [len(codes) + i for i in range(len(extra))]
 

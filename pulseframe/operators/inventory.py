@@ -72,7 +72,9 @@ SELECTED_FIELDS = (
     "interfaceid", "last_value", "last_clock", "status", "state", "categories",
 )
 # Carried on top of the selected fields because the classifier and its enrichment read them.
-CARRIED_FIELDS = ("error", "preprocessing", "master_itemid")
+CARRIED_FIELDS = {
+    "error": "string", "preprocessing": "array<struct<type string, params string>>", "master_itemid": "string",
+}
 
 
 def any_pattern(patterns: tuple[str, ...]) -> str:
@@ -139,9 +141,11 @@ def prioritise(items: DataFrame) -> DataFrame:
 def select_metrics(items: DataFrame) -> DataFrame:
     """Selection projection; ``host`` falls back to the host's visible name."""
     chosen = prioritise(items)
-    fields = SELECTED_FIELDS + tuple(c for c in CARRIED_FIELDS if c in items.columns)
     host = F.coalesce(non_empty(F.col("host")), F.col("name"))
-    return chosen.withColumn("host", host).select(*fields)
+    carried = [
+        F.col(c) if c in items.columns else F.lit(None).cast(kind).alias(c) for c, kind in CARRIED_FIELDS.items()
+    ]
+    return chosen.withColumn("host", host).select(*SELECTED_FIELDS, *carried)
 
 
 def priority_counts(selected: DataFrame) -> DataFrame:
@@ -177,6 +181,5 @@ def watch_counts(items: DataFrame, watch_list: DataFrame) -> DataFrame:
 
 
 def unknown_semantics(semantic: DataFrame, fields: tuple[str, ...]) -> DataFrame:
-    """Items without a semantic type, excluded ones included."""
-    present = [c for c in fields if c in semantic.columns]
-    return semantic.filter(F.col("semantic_type") == "unknown").select(*present)
+    """Items without a semantic type, excluded ones included; a field that the table lacks is an error."""
+    return semantic.filter(F.col("semantic_type") == "unknown").select(*fields)

@@ -1,8 +1,8 @@
 """Exact interpolated percentiles without holding a group in one aggregation buffer.
 
 A mergeable sketch first brackets each wanted rank; a second pass counts what lies below the bracket and
-ranks only the few values inside it.  Small groups take their full range as the bracket, so the answer
-is exact for every size.
+ranks only the few values inside it.  The bracket is as wide as the sketch's error and two ranks of the group
+demand, and a wanted rank outside its bracket is an error, so the answer is exact for every size.
 """
 
 from __future__ import annotations
@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 ACCURACY = 10_000
-SMALL_GROUP = 100_000
+#: Widths of a bracket: ``2 ** (level + 1) / ACCURACY`` to either side, the widest beyond any fraction.
+LEVELS = 15
 
 
 def exact_percentiles(
@@ -27,16 +28,14 @@ def exact_percentiles(
     base = rows.filter(F.col(value).isNotNull())
     base = base.select(*group, value) if group else base.select(F.lit(1).alias("_all"), value)
     names, wanted = list(points), list(points.values())
-    slack = 2.0 / ACCURACY
-    lows = [float(max(p - slack, 0.0)) for p in wanted]
-    highs = [float(min(p + slack, 1.0)) for p in wanted]
+    slack = [2.0 ** (level + 1) / ACCURACY for level in range(LEVELS)]
+    lows = [float(max(p - s, 0.0)) for p in wanted for s in slack]
+    highs = [float(min(p + s, 1.0)) for p in wanted for s in slack]
     sketch = base.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"),
-        F.min(value).alias("least"),
-        F.max(value).alias("most"),
         F.percentile_approx(value, lows + highs, ACCURACY).alias("sketch"),
     )
-    small = F.col("n") <= SMALL_GROUP
+    level = F.greatest(F.ceil(F.log2(1 + 2.0 * ACCURACY / F.col("n"))) - 1, F.lit(0)).cast("int")
     count = len(wanted)
     brackets = sketch.select(
         *keys,
@@ -45,8 +44,8 @@ def exact_percentiles(
             *[
                 F.struct(
                     F.lit(i).alias("i"),
-                    F.when(small, F.col("least")).otherwise(F.col("sketch")[i]).alias("lo"),
-                    F.when(small, F.col("most")).otherwise(F.col("sketch")[count + i]).alias("hi"),
+                    F.col("sketch")[level + i * LEVELS].alias("lo"),
+                    F.col("sketch")[level + (count + i) * LEVELS].alias("hi"),
                 )
                 for i in range(count)
             ]
@@ -75,14 +74,19 @@ def exact_percentiles(
     p = F.array(*[F.lit(float(x)) for x in wanted])[F.col("i")]
     position = p * (F.col("n") - 1)
     rank = F.floor(position)
-    reach = F.col("below")[F.col("i")] + F.col("upto")
+    start = F.col("below")[F.col("i")]
+    reach = start + F.col("upto")
     at_rank = ranked.groupBy(*keys, "i").agg(
         F.first("n").alias("n"),
         F.min(F.when(reach > rank, F.col(value))).alias("lower"),
         F.min(F.when(reach > rank + 1, F.col(value))).alias("upper"),
         F.first(position - rank).alias("weight"),
+        F.first(start > rank).alias("late"),
     )
-    mixed = F.when(F.col("weight") == 0, F.col("lower")).otherwise(
+    missed = F.col("late") | F.col("lower").isNull() | ((F.col("weight") > 0) & F.col("upper").isNull())
+    mixed = F.when(
+        missed, F.raise_error(F.lit("a percentile's rank lies outside its bracket")).cast("double")
+    ).when(F.col("weight") == 0, F.col("lower")).otherwise(
         F.col("lower") * (1 - F.col("weight")) + F.col("upper") * F.col("weight")
     )
     return (

@@ -172,7 +172,7 @@ def _catalog() -> str:
          CASE WHEN p_size % 9 = 0 THEN 'timeout' ELSE '' END AS error,
          concat('1.3.6.1.2.1.', p_partkey) AS snmp_oid,
          CASE WHEN p_size % 3 = 0 THEN CAST(p_partkey AS VARCHAR) END AS master_itemid,
-         p_size
+         p_size, p_retailprice
   FROM part)"""
 
 
@@ -261,11 +261,13 @@ SELECT itemid, priority FROM selected WHERE priority IS NOT NULL"""
 INVENTORY_ITEMS = """inventory_items AS (
   SELECT c.* EXCLUDE (host), h.host, h.name FROM catalog c JOIN hosts h USING (hostid))"""
 SQL["P4_selected_metrics"] = with_(
-    CATALOG, HOSTS, INVENTORY_ITEMS, SELECTED.replace("catalog", "inventory_items")
+    CATALOG, HOSTS, INVENTORY_ITEMS, TAGGED, SELECTED.replace("catalog", "inventory_items")
 ) + """
-SELECT priority, hostid, CASE WHEN host = '' THEN name ELSE host END AS host, itemid, metric_name,
+SELECT CAST(p_retailprice AS DOUBLE) AS last_value,
+       CASE WHEN len(found) = 0 THEN 'other' ELSE array_to_string(found, ',') END AS categories,
+       priority, hostid, CASE WHEN host = '' THEN name ELSE host END AS host, itemid, metric_name,
        key, units, value_type, delay, interfaceid, last_clock, status, state
-FROM selected WHERE priority IS NOT NULL"""
+FROM selected JOIN tagged USING (itemid) WHERE priority IS NOT NULL"""
 SQL["P4_priority_counts"] = with_(CATALOG, SELECTED) + """
 SELECT priority, count(*) AS metrics FROM selected WHERE priority IS NOT NULL GROUP BY 1"""
 SQL["P5_numeric_type_counts"] = with_(ITEMS) + """
@@ -448,19 +450,19 @@ ISSUES = """expected AS (SELECT * FROM (VALUES
  wanted AS (SELECT * FROM (VALUES ('counter', 'delta_rate'), ('gauge', 'direct'),
   ('rate', 'direct'), ('state', 'direct')) AS w(semantic_type, wanted)),
  issues AS (
-  SELECT itemid, hostid, key, canonical_metric, 'excluded_without_reason' AS issue,
+  SELECT itemid, hostid, host, key, canonical_metric, 'excluded_without_reason' AS issue,
          NULL AS expected, NULL AS actual
   FROM damaged WHERE excluded AND coalesce(exclude_reason, '') = ''
-  UNION ALL SELECT itemid, hostid, key, canonical_metric, 'unknown_semantic', NULL, semantic_type
+  UNION ALL SELECT itemid, hostid, host, key, canonical_metric, 'unknown_semantic', NULL, semantic_type
   FROM damaged WHERE NOT excluded AND semantic_type = 'unknown'
-  UNION ALL SELECT itemid, hostid, key, d.canonical_metric, 'wrong_semantic_type', allowed,
+  UNION ALL SELECT itemid, hostid, host, key, d.canonical_metric, 'wrong_semantic_type', allowed,
                    semantic_type
   FROM damaged d JOIN expected USING (canonical_metric)
   WHERE NOT excluded AND NOT list_contains(string_split(allowed, ','), semantic_type)
-  UNION ALL SELECT itemid, hostid, key, canonical_metric, 'wrong_transformation', wanted,
+  UNION ALL SELECT itemid, hostid, host, key, canonical_metric, 'wrong_transformation', wanted,
                    transformation
   FROM damaged JOIN wanted USING (semantic_type) WHERE NOT excluded AND transformation <> wanted
-  UNION ALL SELECT itemid, hostid, key, canonical_metric, 'invalid_confidence', NULL, confidence
+  UNION ALL SELECT itemid, hostid, host, key, canonical_metric, 'invalid_confidence', NULL, confidence
   FROM damaged WHERE NOT excluded AND coalesce(confidence, '') NOT IN ('high', 'medium', 'low'))"""
 AUDIT = (*SEMANTIC, DAMAGED, ISSUES)
 SQL["D6_D7_semantic_issues"] = with_(*AUDIT) + "SELECT * FROM issues"
@@ -478,8 +480,9 @@ SQL["D9_usable_summary"] = with_(*SEMANTIC) + _counts(
     }
 )
 SQL["P8_unknown_semantics"] = with_(*SEMANTIC) + """
-SELECT itemid, hostid, host, key, units, value_type, delay, status, state, error, last_clock,
-       snmp_oid, interfaceid, semantic_type, transformation, canonical_metric, confidence, excluded,
+SELECT itemid, hostid, host, metric_name AS name, key, units, value_type,
+       CAST(ordinal % 3 AS VARCHAR) AS type, delay, '7d' AS history, '365d' AS trends,
+       CAST(ordinal % 50 AS VARCHAR) AS templateid, status, state, error, last_clock, snmp_oid, interfaceid, semantic_type, transformation, canonical_metric, confidence, excluded,
        exclude_reason FROM semantic WHERE semantic_type = 'unknown'"""
 
 # --- feature store --------------------------------------------------------------------------------
@@ -580,7 +583,7 @@ DEVICE_RECORDS = "device_records AS (SELECT * REPLACE (CASE canonical_metric " +
     f"WHEN '{k}' THEN '{v}'" for k, v in DEVICE_NAMES.items()
 ) + """ END AS canonical_metric),
   value AS raw_value, NULL AS previous_raw_value, false AS counter_reset
-  FROM history WHERE ifindex % 3 = 0)"""
+  FROM history)"""
 
 
 def _device() -> tuple[str, ...]:

@@ -125,7 +125,8 @@ def _(spark, sf):
     chosen = inventory.select_metrics(selectable(spark, sf))
     return chosen.select(
         "priority", "hostid", "host", "itemid", "metric_name", "key", "units", "value_type",
-        "delay", "interfaceid", "last_clock", "status", "state",
+        "delay", "interfaceid", "last_clock", "status", "state", F.col("last_value").cast("double").alias("last_value"),
+        joined_text("categories").alias("categories"),
     )
 
 
@@ -297,7 +298,7 @@ def audited(spark, sf):
 
 @query("D6_D7_semantic_issues")
 def _(spark, sf):
-    return semantics.semantic_issues(audited(spark, sf)).drop("host")
+    return semantics.semantic_issues(audited(spark, sf))
 
 
 @query("D7_issue_counts")
@@ -331,7 +332,14 @@ UNKNOWN_FIELDS = (
 
 @query("P8_unknown_semantics")
 def _(spark, sf):
-    return inventory.unknown_semantics(semantic(spark, sf), UNKNOWN_FIELDS)
+    part = F.col("ordinal")
+    listed = semantic(spark, sf).withColumns(
+        {
+            "name": F.col("metric_name"), "type": (part % 3).cast("string"), "history": F.lit("7d"),
+            "trends": F.lit("365d"), "templateid": (part % 50).cast("string"),
+        }
+    )
+    return inventory.unknown_semantics(listed, UNKNOWN_FIELDS)
 
 
 # --- feature store --------------------------------------------------------------------------------
@@ -376,8 +384,8 @@ def interface_rows(spark, sf):
 
 
 def device_records(spark, sf):
-    """A third of the events read as device health, next to the interface history."""
-    health = bindings.as_device_health(scaled_history(spark, sf)).filter("ifindex % 3 = 0")
+    """All events read as device health, next to the interface history."""
+    health = bindings.as_device_health(scaled_history(spark, sf))
     return features.deduplicate(
         health.select(
             "itemid", "ordinal", "clock", "hostid", "host", "host_name", "device_role",
