@@ -45,6 +45,8 @@ SMALL = 48
 BLOCK = 2048
 #: Pairs of two classes that a block passes on in the first round; each further round takes 8 times as many.
 FIRST = 4
+#: Pairs that a block holds before it lets all but the closest of each two classes go.
+HELD = 1 << 18
 #: Bits of the parity bitmap, and of the wide one that sets beyond ``WIDE_FROM`` elements have besides.
 BITS, WIDE_BITS, WIDE_FROM = 512, 8192, 1024
 #: Up to so many keys (16 bytes each) go to the texts by broadcast, counted first; more are joined by a shuffle.
@@ -237,6 +239,13 @@ def near_enough(pairs: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
     return both.filter(~out).select("a", "b", "more")
 
 
+def _closest(found: list[np.ndarray], most: int) -> pd.DataFrame:
+    """Of rows (p, q, apart, a, b) the ``most`` closest of each two classes."""
+    rows = np.concatenate(found) if found else np.zeros((0, 5), dtype=np.int64)
+    out = pd.DataFrame(rows, columns=["p", "q", "apart", "a", "b"]).drop_duplicates().sort_values(["p", "q", "apart", "a", "b"])
+    return out[out.groupby(["p", "q"]).cumcount() < most]
+
+
 def _blocks_compared(rule: Rule, most: int):
     """Pairs of two blocks that may link and lie in different classes: the ``most`` closest of each two classes.
 
@@ -249,22 +258,26 @@ def _blocks_compared(rule: Rule, most: int):
         left, right = np.flatnonzero(rows["side"] == 0), np.flatnonzero(rows["side"] == 1)
         if not len(right):
             right = left
-        found = []
+        found, held, bound = [], 0, HELD
         for i in left:
             apart = np.bitwise_count(bits[right] ^ bits[i]).sum(axis=1, dtype=np.int64)
             total = n[right] + n[i]
             limit = total - 2 * -(-rule.num * total // (rule.num + rule.den))
             sized = rule.den * np.minimum(n[right], n[i]) >= rule.num * np.maximum(n[right], n[i])
             near = np.flatnonzero(sized & (apart <= limit) & (label[right] != label[i]))
-            for j in near:
-                k = right[j]
-                a, b = (i, k) if label[i] < label[k] else (k, i)
-                found.append((label[a], label[b], apart[j], node[a], node[b]))
-        out = pd.DataFrame(found, columns=["p", "q", "apart", "a", "b"], dtype="int64").drop_duplicates()
-        out = out.sort_values(["p", "q", "apart", "a", "b"])
-        place = out.groupby(["p", "q"]).cumcount()
-        out = out.assign(more=(out.groupby(["p", "q"])["a"].transform("size") > most))
-        return out[place < most][["a", "b", "more"]]
+            if len(near):
+                k = right[near]
+                first = label[i] < label[k]
+                p, q = np.minimum(label[i], label[k]), np.maximum(label[i], label[k])
+                found.append(np.column_stack((p, q, apart[near], np.where(first, node[i], node[k]), np.where(first, node[k], node[i]))))
+                held += len(near)
+            if held > bound:  # one more than asked for stays, so that the end can tell whether any were held back
+                found = [_closest(found, most + 1).to_numpy()]
+                held = len(found[0])
+                bound = max(HELD, 2 * held)
+        out = _closest(found, most + 1)
+        place, size = out.groupby(["p", "q"]).cumcount(), out.groupby(["p", "q"])["a"].transform("size")
+        return out.assign(more=size > most)[place < most][["a", "b", "more"]]
 
     return run
 
