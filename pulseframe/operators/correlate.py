@@ -24,7 +24,7 @@ def _of(records: DataFrame, *metrics: str) -> DataFrame:
     return records.filter(F.col("canonical_metric").isin(*metrics) & F.col("value").isNotNull())
 
 
-def _per_clock_counts(rows: DataFrame, key: list[str]) -> DataFrame:
+def per_clock_counts(rows: DataFrame, key: list[str]) -> DataFrame:
     return rows.groupBy(*key, "clock").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -59,14 +59,14 @@ def uptime_falls(records: DataFrame) -> DataFrame:
 def reachability_anomalies(records: DataFrame) -> DataFrame:
     value, metric = F.col("value"), F.col("canonical_metric")
     bad = ((metric == "icmp_loss_pct") & (value > LOSS_PCT)) | ((metric == "icmp_rtt_sec") & (value > RTT_SEC))
-    return _per_clock_counts(_of(records, "icmp_loss_pct", "icmp_rtt_sec").filter(bad), HOST)
+    return per_clock_counts(_of(records, "icmp_loss_pct", "icmp_rtt_sec").filter(bad), HOST)
 
 
 def interface_activity(records: DataFrame) -> DataFrame:
-    return _per_clock_counts(_of(records, *ACTIVITY_METRICS), INTERFACE)
+    return per_clock_counts(_of(records, *ACTIVITY_METRICS), INTERFACE)
 
 
-def _attach(events: DataFrame, points: DataFrame, key: list[str], name: str, window: int) -> DataFrame:
+def attach(events: DataFrame, points: DataFrame, key: list[str], name: str, window: int) -> DataFrame:
     """Add ``name`` (samples within the window) and ``name_distance`` (seconds to the nearest one)."""
     clock, sampled = F.col("clock"), F.when(F.col("n").isNotNull(), F.col("clock"))
 
@@ -93,7 +93,7 @@ SIGNALS = {
 
 def with_signal(events: DataFrame, records: DataFrame, signal: str, window: int = WINDOW_SEC) -> DataFrame:
     source, key = SIGNALS[signal]
-    return _attach(events, source(records), key, signal, window)
+    return attach(events, source(records), key, signal, window)
 
 
 def correlate(events: DataFrame, records: DataFrame, window: int = WINDOW_SEC) -> DataFrame:
