@@ -69,8 +69,8 @@ _register(
     WHEN events_within_span >= events / 2 THEN 'temporal_clustering_without_strong_multi_interface_evidence' ELSE 'mostly_independent_counter_decreases' END AS classification,
   CASE WHEN events = 0 OR (greatest(same_clock_events, events_within_span) >= events / 2 AND multi_interface_clusters > 0) THEN 'high' ELSE 'medium' END AS confidence
 FROM (SELECT (SELECT count(*) FROM falls) AS events, (SELECT CAST(coalesce(sum(events), 0) AS BIGINT) FROM same_clock) AS same_clock_events,
-  (SELECT count_if(b) FROM (SELECT count(*) OVER (ORDER BY clock RANGE BETWEEN 60 PRECEDING AND 60 FOLLOWING) > 1 AS b FROM falls)) AS events_within_span,
-  (SELECT count_if(interfaces >= 2) FROM host_clusters) AS multi_interface_clusters)""", SAME, ANCHORED,
+  (SELECT count(*) FROM (SELECT count(*) OVER (ORDER BY clock RANGE BETWEEN 60 PRECEDING AND 60 FOLLOWING) > 1 AS b FROM falls) WHERE b) AS events_within_span,
+  (SELECT count(*) FROM host_clusters WHERE interfaces >= 2) AS multi_interface_clusters)""", SAME, ANCHORED,
 )
 
 
