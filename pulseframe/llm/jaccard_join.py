@@ -15,7 +15,8 @@ its pivot (the node of the group with most copies), and only what is then still
 pairs in buckets of up to ``SMALL`` members, and blocks of members against blocks in larger ones, where blocks that
 already lie in one class are skipped. A pair reaches verification only if parity bitmaps allow it: each set has
 ``BITS`` bits, each the parity of the elements that hash there, so two bitmaps differ in no more places than the sets
-do. A block passes on, for each two classes, the closest pairs first; while it holds some back, another round with
+do; sets beyond ``WIDE_FROM`` elements fill these and have a wide one as well. A block passes on, for each two classes, the
+closest pairs that both bitmaps allow; while it holds some back, another round with
 the classes joined so far asks for more. This is exact: every pair of a bucket is in one class, or verified, or ruled
 out by a bound.
 
@@ -249,11 +250,15 @@ def _closest(found: list[np.ndarray], most: int) -> pd.DataFrame:
 def _blocks_compared(rule: Rule, most: int):
     """Pairs of two blocks that may link and lie in different classes: the ``most`` closest of each two classes.
 
-    ``more`` tells that some were held back.
+    ``more`` tells that some were held back. Both bitmaps are tested before pairs are ranked, so no row that is passed on,
+    and with it ``more``, falls to ``near_enough``.
     """
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         bits = np.frombuffer(b"".join(rows["parity"]), dtype=np.uint64).reshape(len(rows), BITS // 64)
+        large = rows["wide"].notna().to_numpy()
+        at_wide = np.cumsum(large) - 1
+        wide = np.array(rows["wide"][large].tolist(), dtype=np.int64).reshape(-1, WIDE_BITS // 64).view(np.uint64)
         n, label, node = (rows[c].to_numpy() for c in ("n", "label", "node"))
         left, right = np.flatnonzero(rows["side"] == 0), np.flatnonzero(rows["side"] == 1)
         if not len(right):
@@ -265,6 +270,10 @@ def _blocks_compared(rule: Rule, most: int):
             limit = total - 2 * -(-rule.num * total // (rule.num + rule.den))
             sized = rule.den * np.minimum(n[right], n[i]) >= rule.num * np.maximum(n[right], n[i])
             near = np.flatnonzero(sized & (apart <= limit) & (label[right] != label[i]))
+            if large[i] and len(near):
+                both = near[large[right[near]]]
+                far = np.bitwise_count(wide[at_wide[right[both]]] ^ wide[at_wide[i]]).sum(axis=1, dtype=np.int64) > limit[both]
+                near = np.setdiff1d(near, both[far], assume_unique=True)
             if len(near):
                 k = right[near]
                 first = label[i] < label[k]
@@ -296,7 +305,7 @@ def large_bucket_pairs(rest: DataFrame, nodes: DataFrame, rule: Rule, most: int)
     placed = rest.join(sizes, ["token", "label"]).join(shared, "token", "left").select(
         "token", "node", "label", F.when(large, own).otherwise(among).alias("block"), F.when(large, F.col("label")).alias("only")
     )
-    placed = common.written(placed.join(nodes.select("node", "n", "parity"), "node"), "blocks")
+    placed = common.written(placed.join(nodes.select("node", "n", "parity", "wide"), "node"), "blocks")
     blocks = placed.select("token", "block", "only").distinct()
     x, y = blocks.alias("x"), blocks.alias("y")
     meet = x.join(y, F.col("x.token") == F.col("y.token")).filter(
@@ -305,7 +314,7 @@ def large_bucket_pairs(rest: DataFrame, nodes: DataFrame, rule: Rule, most: int)
     sides = meet.select("token", "i", "j", F.col("i").alias("block"), F.lit(0).alias("side")).unionByName(
         meet.filter("i <> j").select("token", "i", "j", F.col("j").alias("block"), F.lit(1).alias("side"))
     )
-    dealt = sides.join(placed, ["token", "block"]).select("token", "i", "j", "side", "node", "label", "n", "parity")
+    dealt = sides.join(placed, ["token", "block"]).select("token", "i", "j", "side", "node", "label", "n", "parity", "wide")
     return dealt.groupBy("token", "i", "j").applyInPandas(_blocks_compared(rule, most), "a bigint, b bigint, more boolean")
 
 

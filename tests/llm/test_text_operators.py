@@ -349,3 +349,24 @@ def test_gradients_by_differences():
         down[k][at] -= 1e-4
         slope = -(masked_lm.log_probabilities(up, context, target).sum() - masked_lm.log_probabilities(down, context, target).sum()) / 2e-4
         assert abs(slope - g[k][at]) < 1e-3
+
+
+def test_block_does_not_lose_links_behind_pairs_that_only_the_wide_bitmap_rules_out(spark):
+    rule, random_ = jaccard_join.CONTRACT, np.random.default_rng(5)
+    fresh = lambda n: random_.integers(1, 2**63, n, dtype=np.uint64)
+    place = lambda e: textnum.mixed(e) >> np.uint64(55)  # noqa: E731  the element's place in the narrow bitmap
+    base, spare = fresh(5000), fresh(200_000)
+    by_place = {k: list(spare[place(spare) == k]) for k in range(jaccard_join.BITS)}
+    # 400 elements change for others of the same narrow place: similarity 0.85, narrow bitmaps equal
+    misses = [np.concatenate((base[400:], [by_place[int(k)].pop() for k in place(base[:400])])).astype(np.uint64) for _ in range(10)]
+    link = np.concatenate((base[200:], fresh(200)))  # similarity 0.92
+    sets = [base, *misses, link]
+    assert [rule.links(len(np.intersect1d(base, s)), len(s), len(base)) for s in sets[1:]] == [False] * 10 + [True]
+    rows = [
+        (k, len(s), bytearray(jaccard_join.parity_bits(s, jaccard_join.BITS).tobytes()), jaccard_join.parity_bits(s, jaccard_join.WIDE_BITS).view(np.int64).tolist())
+        for k, s in enumerate(sets)
+    ]
+    nodes = spark.createDataFrame(rows, "node long, n long, parity binary, wide array<long>")
+    rest = nodes.select(F.lit("t").alias("token"), "node", F.least("node", F.lit(1)).cast("long").alias("label"))
+    found = jaccard_join.near_enough(jaccard_join.large_bucket_pairs(rest, nodes, rule, jaccard_join.FIRST), nodes, rule)
+    assert [tuple(r) for r in found.collect()] == [(0, len(sets) - 1, False)]
