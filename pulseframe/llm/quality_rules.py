@@ -1,7 +1,7 @@
 """Quality rules: counts of each text and a hashed n-gram likelihood ratio between trusted and raw text.
 
 Word 1- and 2-grams are hashed into ``CELLS`` cells. Two multinomials over the cells are estimated: one from the
-trusted rows, one from every row. A document's score is the mean, over its n-grams, of log(trusted / raw); it is kept
+trusted rows, one from every row, whatever their number. A document's score is the mean, over its n-grams, of log(trusted / raw); it is kept
 when it passes the base rules and its score reaches a fixed threshold.
 
 Defined results: null and blank texts have no words, score 0 and fail the base rules; a document without label is
@@ -28,8 +28,8 @@ CELLS = 1 << 17
 THRESHOLD = -0.2
 #: Pseudo-counts that the raw distribution lends to the trusted one, as a share of the trusted total.
 SMOOTHING = 0.01
-#: Trusted rows the target multinomial is estimated from: ids by hash, few enough to go to the texts by broadcast.
-TRUSTED_ROWS = 20_000
+#: Trusted ids that go to the texts in one broadcast; more go in turns, each with a pass over the texts.
+BROADCAST_IDS = 1_000_000
 REPEAT_WIDTH = 5
 _CHUNK = 1 << 14
 
@@ -107,14 +107,23 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     )
 
 
-def train(rows: DataFrame, text: str = "text", trusted: str = "trusted") -> np.ndarray:
-    """Log ratio of each cell, from all rows: ``trusted`` marks those of the target multinomial."""
+def counted(rows: DataFrame, text: str = "text", trusted: str = "trusted") -> np.ndarray:
+    """Occurrences of each cell in all rows, and in those that ``trusted`` marks."""
     common.ship_package(rows.sparkSession)
     rows = rows.select(F.col(text).alias("text"), F.coalesce(F.col(trusted), F.lit(False)).alias("trusted"))
     sums = common.summed_arrays(rows.mapInArrow(_count, "key int, salt int, data binary"))
-    if not sums:
+    return np.concatenate([sums[k] for k in sorted(sums)]).reshape(2, CELLS) if sums else np.zeros((2, CELLS))
+
+
+def train(rows: DataFrame, text: str = "text", trusted: str = "trusted") -> np.ndarray:
+    """Log ratio of each cell, from all rows: ``trusted`` marks those of the target multinomial."""
+    return ratios(*counted(rows, text, trusted))
+
+
+def ratios(raw: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """Log ratio of each cell from its occurrences in all rows and in the trusted ones."""
+    if not raw.any():
         return np.zeros(CELLS)
-    raw, target = np.concatenate([sums[k] for k in sorted(sums)]).reshape(2, CELLS)
     p_raw = (raw + 0.5) / (raw + 0.5).sum()
     lent = SMOOTHING * max(target.sum(), 1.0)
     return np.log((target + lent * p_raw) / (target.sum() + lent)) - np.log(p_raw)
@@ -163,14 +172,24 @@ def score(docs: DataFrame, ratio: np.ndarray, text: str = "text") -> DataFrame:
     return out.withColumn("kept", ~F.col("base_failed") & (F.col("log_ratio") >= THRESHOLD))
 
 
-def with_trust(docs: DataFrame, labels: DataFrame, rows: int = TRUSTED_ROWS) -> DataFrame:
-    """Mark rows whose id is among at most ``rows`` ids that some label calls good. No text is shuffled for it."""
-    ids = labels.filter("quality = 1 and doc_id is not null").select("doc_id").distinct()
-    good = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).withColumn("trusted", F.lit(True))
-    return docs.select("doc_id", "text").join(F.broadcast(good), "doc_id", "left")
+def train_labelled(docs: DataFrame, labels: DataFrame, most: int = BROADCAST_IDS) -> np.ndarray:
+    """Log ratio of each cell, from all rows of ``docs`` and all of them whose id some label calls good.
+
+    No text is shuffled: the ids are dealt by hash into parts of about ``most``, and each part meets the texts by
+    broadcast. The first pass counts every row; the others count only the rows of their own part.
+    """
+    docs = docs.select("doc_id", "text")
+    ids = common.written(labels.filter("quality = 1 and doc_id is not null").select("doc_id").distinct(), "trusted")
+    parts = max(1, -(-ids.count() // most))
+    total = np.zeros((2, CELLS))
+    for k in range(parts):
+        part = F.broadcast(ids.filter(F.pmod(F.xxhash64("doc_id"), F.lit(parts)) == k).withColumn("trusted", F.lit(True)))
+        raw, target = counted(docs.join(part, "doc_id", "inner" if k else "left"))
+        total += (np.zeros(CELLS) if k else raw, target)
+    return ratios(*total)
 
 
 def query(spark, sf_dir):
     docs = common.table(spark, sf_dir, "documents")
-    ratio = train(with_trust(docs, common.table(spark, sf_dir, "labels")))
+    ratio = train_labelled(docs, common.table(spark, sf_dir, "labels"))
     return score(docs.select("doc_id", "text"), ratio).drop("text")

@@ -370,3 +370,18 @@ def test_block_does_not_lose_links_behind_pairs_that_only_the_wide_bitmap_rules_
     rest = nodes.select(F.lit("t").alias("token"), "node", F.least("node", F.lit(1)).cast("long").alias("label"))
     found = jaccard_join.near_enough(jaccard_join.large_bucket_pairs(rest, nodes, rule, jaccard_join.FIRST), nodes, rule)
     assert [tuple(r) for r in found.collect()] == [(0, len(sets) - 1, False)]
+
+
+def test_quality_counts_every_trusted_row(spark, tmp_path):
+    # more trusted ids than any fixed sample; the words of each are its own
+    docs = spark.range(20_400).select(F.col("id").alias("doc_id"), F.concat(F.lit("w"), F.col("id")).alias("text"))
+    labels = docs.select("doc_id", F.when(F.col("doc_id") < 20_200, 1).otherwise(0).alias("quality"))
+    twice = labels.unionByName(spark.createDataFrame([(3, 1), (None, 1)], "doc_id long, quality int"))
+    plain = quality_rules.train(docs.withColumn("trusted", F.col("doc_id") < 20_200))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    twice.write.parquet(f"{tmp_path}/labels.parquet")
+    found = {r.doc_id: r.log_ratio for r in quality_rules.query(spark, str(tmp_path)).collect()}
+    wanted = {r.doc_id: r.log_ratio for r in quality_rules.score(docs, plain).collect()}
+    assert found == pytest.approx(wanted)
+    assert np.allclose(quality_rules.train_labelled(docs, twice, most=3000), plain)
+    assert np.allclose(quality_rules.train_labelled(docs, twice.filter("false")), 0)
