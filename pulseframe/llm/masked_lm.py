@@ -5,7 +5,10 @@ squashed, and read by a two-level softmax (class of the token, then token in the
 sum, over its tokens, of the log-probability given both sides, each token hidden in its turn.
 
 Tokens are lower-case words of the whole corpus: the most frequent have numbers of their own, the others share
-``BUCKETS`` numbers by hash, so every word is predicted and none is left out.
+``BUCKETS`` numbers by hash, so every word is predicted and none is left out. The probability of such a word is that of
+its bucket, given both sides, times the word's share of the bucket: its count over the bucket's. Counts of all words are
+kept as a table, which grows with the corpus and meets the documents by a join of (text, word); a word that was never
+counted is taken to have occurred once.
 
 Word counts and training cover every document. In each round every partition trains a copy of the network, from the
 common weights, on a share of masked positions that differs by round, and the copies are averaged by the positions they
@@ -67,14 +70,19 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 held[:] = [folded()]
     if held:
         value, count = folded()
-        yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), pa.array(count)], names=["word", "n"])
+        bucket = (value % np.uint64(BUCKETS)).astype(np.int32)
+        yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), pa.array(bucket), pa.array(count)], names=["word", "bucket", "n"])
 
 
 class Vocabulary:
-    """Sorted hashes of the frequent words and their numbers; number 0 is the end of the text."""
+    """Sorted hashes of the frequent words and their numbers; number 0 is the end of the text.
 
-    def __init__(self, words: np.ndarray):
+    ``rare`` has the occurrences of all other words by bucket.
+    """
+
+    def __init__(self, words: np.ndarray, rare: np.ndarray | None = None):
         words = words.astype(np.uint64)
+        self.rare = np.zeros(BUCKETS) if rare is None else rare
         self.order = np.argsort(words, kind="stable")
         self.known = words[self.order]
 
@@ -86,11 +94,21 @@ class Vocabulary:
         return np.where(self.known[at] == hashes, self.order[at] + 1, bucket)
 
 
-def vocabulary(docs: DataFrame, text: str = "text") -> Vocabulary:
-    """The words that occur most often in all documents; ties by hash."""
-    counts = docs.select(F.col(text).alias("text")).mapInArrow(_counted, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
+    """(word, bucket, n) of every word of all documents. Written once."""
+    found = docs.select(F.col(text).alias("text")).mapInArrow(_counted, "word bigint, bucket int, n bigint")
+    return common.written(found.groupBy("word", "bucket").agg(F.sum("n").alias("n")), "words")
+
+
+def vocabulary(counts: DataFrame) -> Vocabulary:
+    """The words that occur most often in all documents, ties by hash, and the occurrences of the others by bucket."""
     top = counts.orderBy(F.desc("n"), "word").limit(VOCABULARY - BUCKETS - 1).collect()
-    return Vocabulary(np.array([r["word"] for r in top], dtype=np.int64).view(np.uint64))
+    rare = np.zeros(BUCKETS)
+    for r in counts.groupBy("bucket").agg(F.sum("n").alias("n")).collect():
+        rare[r["bucket"]] = r["n"]
+    for r in top:
+        rare[r["bucket"]] -= r["n"]
+    return Vocabulary(np.array([r["word"] for r in top], dtype=np.int64).view(np.uint64), rare)
 
 
 SHAPES = {
@@ -230,26 +248,29 @@ def _trained(shared, words: Vocabulary, turn: int):
 
 
 class Model:
-    def __init__(self, words: Vocabulary, weights: np.ndarray):
-        self.words, self.weights = words, weights
+    """Frequent words and weights, of fixed size, and the table of all word counts."""
+
+    def __init__(self, words: Vocabulary, weights: np.ndarray, counts: DataFrame):
+        self.words, self.weights, self.counts = words, weights, counts
 
 
 def train(docs: DataFrame, text: str = "text", rounds: int = ROUNDS) -> Model:
     """Vocabulary and weights from all rows."""
     common.ship_package(docs.sparkSession)
     context = docs.sparkSession.sparkContext
-    words, weights = vocabulary(docs, text), flat(initial())
+    counts = word_counts(docs, text)
+    words, weights = vocabulary(counts), flat(initial())
     for turn in range(rounds):
         run = _trained(context.broadcast(weights), words, turn * (MASK_EVERY // 2 + 1))
         sums = common.summed_arrays(docs.select(F.col(text).alias("text")).mapInArrow(run, "key int, salt int, data binary"))
         if sums:
             total = np.concatenate([sums[k] for k in sorted(sums)])
             weights = (total[:-1] / total[-1]).astype(np.float32)
-    return Model(words, weights)
+    return Model(words, weights, counts)
 
 
 def text_scores(texts: list[bytes], words: Vocabulary, w: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Token count and summed log-probability of each text."""
+    """Token count and summed log-probability of each text, as if every rare word had occurred once in the corpus."""
     t = token_words(texts)
     numbers = words.numbers(t.hash)
     total = np.zeros(len(texts))
@@ -257,7 +278,43 @@ def text_scores(texts: list[bytes], words: Vocabulary, w: dict[str, np.ndarray])
         at = np.arange(i, min(len(numbers), i + BATCH))
         lp = log_probabilities(w, contexts(numbers, t.doc, t.first, at), numbers[at])
         total += np.bincount(t.doc[at], weights=lp, minlength=len(texts))
-    return t.count, total
+    rare = numbers >= VOCABULARY - BUCKETS
+    in_bucket = np.log(np.maximum(words.rare, 1))[numbers[rare] - (VOCABULARY - BUCKETS)]
+    return t.count, total - np.bincount(t.doc[rare], weights=in_bucket, minlength=len(texts))
+
+
+def _rare_words(shared):
+    """(key, word, n) of the words without a number of their own, from (key, text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, texts = batch.column(0).to_numpy(), column_bytes(batch.column(1))
+            for a, b in slices(texts):
+                t = token_words(texts[a:b])
+                rare = shared.value.numbers(t.hash) >= VOCABULARY - BUCKETS
+                key, word = keys[a:b][t.doc[rare]], t.hash[rare].view(np.int64)
+                order = np.lexsort((word, key))
+                key, word = key[order], word[order]
+                first = np.flatnonzero(np.diff(key, prepend=~key[:1]).astype(bool) | np.diff(word, prepend=~word[:1]).astype(bool))
+                n = np.diff(np.append(first, len(key)))
+                yield pa.RecordBatch.from_arrays([pa.array(key[first]), pa.array(word[first]), pa.array(n, pa.int64())], names=["key", "word", "n"])
+
+    return run
+
+
+def rare_shares(docs: DataFrame, model: Model, text: str) -> DataFrame:
+    """(key, share): by hash of the text, the sum of log counts over its rare words. No text is shuffled.
+
+    Words that occurred once add nothing and are left out of the join.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(model.words)  # fixed size: frequent words
+    keyed = docs.select(F.xxhash64(text).alias("key"), F.col(text).cast("string").alias("text"))
+    found = keyed.mapInArrow(_rare_words(shared), "key bigint, word bigint, n bigint")
+    logs = model.counts.filter("n > 1").select("word", F.log("n").alias("log_n"))
+    sums = found.join(logs, "word").groupBy("key").agg(F.sum(F.col("n") * F.col("log_n")).alias("sum"))
+    # equal texts have one key, and their words were counted once for each
+    copies = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("copies"))
+    return sums.join(copies, "key").select("key", (F.col("sum") / F.col("copies")).alias("share"))
 
 
 MADE = [T.StructField("n_tokens", T.LongType()), T.StructField("log_likelihood", T.DoubleType())]
@@ -268,19 +325,26 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     common.ship_package(docs.sparkSession)
     made = [*(f.name for f in MADE), "mean_log_likelihood"]
     kept = docs.drop(*made)
-    at = kept.columns.index(text)
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # fixed size: weights and frequent words
+    names = kept.columns
+    at, key = names.index(text), "key_"
+    while key in names:
+        key += "_"
+    kept = kept.withColumn(key, F.xxhash64(text))
+    shared = docs.sparkSession.sparkContext.broadcast((model.words, model.weights))  # fixed size: frequent words and weights
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights = unflat(shared.value.weights)
+        words, weights = shared.value[0], unflat(shared.value[1])
         for batch in batches:
             texts = column_bytes(batch.column(at))
-            found = [text_scores(texts[a:b], shared.value.words, weights) for a, b in slices(texts)]
+            found = [text_scores(texts[a:b], words, weights) for a, b in slices(texts)]
             if found:
                 new = [pa.array(np.concatenate([n for n, _ in found]), pa.int64()), pa.array(np.concatenate([s for _, s in found]), pa.float64())]
                 yield pa.RecordBatch.from_arrays([*batch.columns, *new], names=[*batch.schema.names, *made[:2]])
 
     out = kept.mapInArrow(run, T.StructType([*kept.schema.fields, *MADE]))
+    shares = rare_shares(docs, model, text).select(F.col("key").alias(key), F.col("share").alias(f"{key}share"))
+    out = out.join(shares, key, "left").withColumn("log_likelihood", F.col("log_likelihood") + F.coalesce(f"{key}share", F.lit(0.0)))
+    out = out.select(*names, *made[:2])
     return out.withColumn("mean_log_likelihood", F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens")))
 
 

@@ -385,3 +385,18 @@ def test_quality_counts_every_trusted_row(spark, tmp_path):
     assert found == pytest.approx(wanted)
     assert np.allclose(quality_rules.train_labelled(docs, twice, most=3000), plain)
     assert np.allclose(quality_rules.train_labelled(docs, twice.filter("false")), 0)
+
+
+def test_masked_lm_tells_rare_words_of_a_bucket_apart(spark):
+    common_words = " ".join(f"c{k}" for k in range(1000)) + " "
+    words = [f"r{k}" for k in range(3000)]
+    hashes = masked_lm.token_words([" ".join(words).encode()]).hash
+    often, once = [w for w, h in zip(words, hashes % np.uint64(masked_lm.BUCKETS), strict=True) if h == hashes[0] % np.uint64(masked_lm.BUCKETS)][:2]
+    rows = [(1, common_words * 9), (2, f"c1 {often} c2"), (3, f"c1 {once} c2"), (3, f"c1 {often} c2"), (4, f"{often} " * 3)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    model = masked_lm.train(frame)
+    found = {(r.doc_id, r.text): r.log_likelihood for r in masked_lm.score(frame, model).collect()}
+    # 5 occurrences against 1 of words that the network cannot tell apart; the copy scores the same
+    assert found[2, rows[1][1]] - found[3, rows[2][1]] == pytest.approx(np.log(5), abs=1e-4)
+    assert found[2, rows[1][1]] == pytest.approx(found[3, rows[3][1]], abs=1e-4)
+    assert len(found) == 5 and model.words.rare.sum() == sum(len(t.split()) for _, t in rows) - 9 * 927 - 3 * 2
