@@ -12,7 +12,7 @@ counted is taken to have occurred once.
 
 Word counts and training cover every document. In each round every partition trains a copy of the network, from the
 common weights, on a share of masked positions that differs by round, and the copies are averaged by the positions they
-saw. The weights have a fixed size; the averages are formed chunk by chunk in a shuffle, so what is gathered grows with
+saw; together the rounds mask every position once. The weights have a fixed size; the averages are formed chunk by chunk in a shuffle, so what is gathered grows with
 the number of partitions and no task holds more than a few chunks.
 
 Defined results: null, empty and wordless texts have no token, log-likelihood 0 and a null mean; a single token is
@@ -40,9 +40,8 @@ BUCKETS = 96
 WIDTH = 32
 OFFSETS = (-2, -1, 1, 2)
 BATCH = 8192
+#: Each round masks, and learns, one position in so many of every text, so that all are learned.
 ROUNDS = 2
-#: One position in so many is masked, and learned, in each round.
-MASK_EVERY = 8
 RATE = 0.08
 _CHUNK = 1 << 14
 
@@ -220,7 +219,12 @@ class Trainer:
         self.seen += len(target)
 
 
-def _trained(shared, words: Vocabulary, turn: int):
+def masked_positions(w: Words, turn: int, rounds: int) -> np.ndarray:
+    """Positions whose place in their text is ``turn`` modulo ``rounds``."""
+    return np.flatnonzero((np.arange(len(w.hash)) - w.first[w.doc]) % rounds == turn)
+
+
+def _trained(shared, words: Vocabulary, turn: int, rounds: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trainer = Trainer(unflat(shared.value))
         for batch in batches:
@@ -228,7 +232,7 @@ def _trained(shared, words: Vocabulary, turn: int):
             for a, b in slices(texts):
                 w = token_words(texts[a:b])
                 numbers = words.numbers(w.hash)
-                masked = np.arange(turn % MASK_EVERY, len(numbers), MASK_EVERY)
+                masked = masked_positions(w, turn, rounds)
                 for i in range(0, len(masked), BATCH):
                     at = masked[i : i + BATCH]
                     trainer.learn(contexts(numbers, w.doc, w.first, at), numbers[at])
@@ -261,7 +265,7 @@ def train(docs: DataFrame, text: str = "text", rounds: int = ROUNDS) -> Model:
     counts = word_counts(docs, text)
     words, weights = vocabulary(counts), flat(initial())
     for turn in range(rounds):
-        run = _trained(context.broadcast(weights), words, turn * (MASK_EVERY // 2 + 1))
+        run = _trained(context.broadcast(weights), words, turn, rounds)
         sums = common.summed_arrays(docs.select(F.col(text).alias("text")).mapInArrow(run, "key int, salt int, data binary"))
         if sums:
             total = np.concatenate([sums[k] for k in sorted(sums)])

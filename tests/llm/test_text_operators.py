@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -400,3 +401,19 @@ def test_masked_lm_tells_rare_words_of_a_bucket_apart(spark):
     assert found[2, rows[1][1]] - found[3, rows[2][1]] == pytest.approx(np.log(5), abs=1e-4)
     assert found[2, rows[1][1]] == pytest.approx(found[3, rows[3][1]], abs=1e-4)
     assert len(found) == 5 and model.words.rare.sum() == sum(len(t.split()) for _, t in rows) - 9 * 927 - 3 * 2
+
+
+def test_masked_lm_learns_every_position(spark, monkeypatch):
+    texts = [b"", b"one", b"one two three", prose(1, 301).encode(), b"four five"]
+    w = masked_lm.token_words(texts)
+    rounds = [masked_lm.masked_positions(w, k, masked_lm.ROUNDS) for k in range(masked_lm.ROUNDS)]
+    assert sorted(np.concatenate(rounds).tolist()) == list(range(len(w.hash)))
+    # what the training itself takes as targets, over all rounds
+    seen, learn = [], masked_lm.Trainer.learn
+    monkeypatch.setattr(masked_lm.Trainer, "learn", lambda self, c, target: (seen.extend(target.tolist()), learn(self, c, target))[1])
+    words = masked_lm.Vocabulary(np.unique(w.hash))
+    shared = type("Shared", (), {"value": masked_lm.flat(masked_lm.initial())})
+    monkeypatch.setattr(masked_lm, "TaskContext", type("Context", (), {"get": staticmethod(lambda: type("Task", (), {"partitionId": lambda self: 0})())}))
+    for turn in range(masked_lm.ROUNDS):
+        list(masked_lm._trained(shared, words, turn, masked_lm.ROUNDS)(iter([pa.RecordBatch.from_arrays([pa.array(texts, pa.binary())], names=["text"])])))
+    assert sorted(seen) == sorted(words.numbers(w.hash).tolist())
