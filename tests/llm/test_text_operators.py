@@ -417,3 +417,15 @@ def test_masked_lm_learns_every_position(spark, monkeypatch):
     for turn in range(masked_lm.ROUNDS):
         list(masked_lm._trained(shared, words, turn, masked_lm.ROUNDS)(iter([pa.RecordBatch.from_arrays([pa.array(texts, pa.binary())], names=["text"])])))
     assert sorted(seen) == sorted(words.numbers(w.hash).tolist())
+
+
+def test_packing_parts_near_copies(spark):
+    base = prose(21, 60).split()
+    near = " ".join([*base[:30], "changed", *base[31:]])
+    rows = [(1, " ".join(base), "a"), (2, near, "b"), (3, ", ".join(base).upper() + "!", "c"), (4, "?? !!", "d"), (5, prose(22, 60), "e"), (5, prose(22, 60), "f")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = packing.pack_documents(frame).toPandas()
+    bins = found.groupby("doc_id").bin_id.agg(list).to_dict()
+    assert len(found) == len(rows) and len({*bins[1], *bins[2], *bins[3]}) == 3 and len(set(bins[5])) == 2
+    # what is no near copy still shares bins
+    assert found.bin_id.nunique() == 3
