@@ -49,7 +49,7 @@ PHONE = (
     + r"|(?<![\p{L}\p{N}+])\+\d{1,3}(?:[ .-]?\(?\d{2,4}\)?){2,4}" + _STOP
 )
 IP = r"(?<![\p{L}\p{N}.])(?:" + _OCTET + r"\.){3}" + _OCTET + r"(?![\p{L}\p{N}])(?!\.\d)"
-SECRET = _EDGE + r"(?:[0-9a-f]{32,128}|[0-9A-F]{32,128}|AKIA[0-9A-Z]{16}|(?:sk|pk|ghp|xoxb)[-_][A-Za-z0-9_-]{16,128})" + _STOP
+SECRET = _EDGE + r"(?:[0-9a-f]{32,}+|[0-9A-F]{32,}+|AKIA[0-9A-Z]{16}|(?:sk|pk|ghp|xoxb)[-_][A-Za-z0-9_-]{16,}+)" + _STOP
 PERSON = _EDGE + rf"(?:{_TITLES})\.? {_NAME}(?: {_NAME})?"
 PATTERN = "|".join([EMAIL, SECRET, IBAN, CARD, SSN, PHONE, IP, PERSON])
 #: What every entity but a name holds; most texts are done with here.

@@ -429,3 +429,16 @@ def test_packing_parts_near_copies(spark):
     assert len(found) == len(rows) and len({*bins[1], *bins[2], *bins[3]}) == 3 and len(set(bins[5])) == 2
     # what is no near copy still shares bins
     assert found.bin_id.nunique() == 3
+
+
+def test_long_secrets_are_replaced_whole(spark):
+    random.seed(3)
+    secrets = [
+        "".join(random.choice("0123456789abcdef") for _ in range(200)), "".join(random.choice("0123456789ABCDEF") for _ in range(300)),
+        "sk-" + "".join(random.choice("abcXYZ019") for _ in range(400)), "ghp_" + "-".join("".join(random.choice("abcXYZ019") for _ in range(60)) for _ in range(5)),
+    ]
+    frame = spark.createDataFrame([(k, f"key {s} end") for k, s in enumerate(secrets)], "doc_id long, text string")
+    for r in surrogates.replace_entities(frame).collect():
+        old, new = secrets[r.doc_id], r.text.split()[1]
+        assert r.n_entities == 1 and len(new) == len(old) and r.text == f"key {new} end"
+        assert not any(old[k : k + 16] in new for k in range(5, len(old) - 16))
