@@ -7,8 +7,9 @@ of its own kind, derived from a keyed hash:
 * digits stay digits and punctuation stays, so numbers keep their format; phones keep the country code, accounts
   the country; secrets keep their alphabet and case;
 * e-mail addresses get another local part in a reserved domain that follows from the old domain;
-* names are built from syllables of the name's script, with an ending for the title's gender. Given name and surname
-  are replaced one by one, so "Ms. Ada Byron" and "Ms. Byron" still agree.
+* names are built from syllables of the name's script, with an ending for the gender its titles tell. Given name and
+  surname are replaced one by one, so "Ms. Ada Byron" and "Ms. Byron" still agree. A name found behind a title is
+  replaced wherever its document has it as a whole word with a capital, before or after, with a title or bare.
 
 The same entity gets the same surrogate in every document (phones and cards in whatever notation). A collision
 check over all distinct entities keeps different ones apart and keeps surrogates clear of entities that occur: who
@@ -110,11 +111,45 @@ def segments(text: Column) -> Column:
     return F.flatten(F.zip_with(plain, matches, both))
 
 
+def names_in(parts: Column, kind: str) -> Column:
+    """Distinct names of a kind among the segments."""
+    own = F.transform(F.filter(parts, lambda p: F.coalesce(p["kind"].startswith(kind), F.lit(False))), lambda p: p["canonical"])
+    # behind a title "Byron's" is taken for a name; what is mentioned may be "Byron" alone
+    return F.array_distinct(F.concat(own, F.transform(own, lambda n: F.regexp_replace(n, "(?<=.{2})['’]s?$", ""))))
+
+
+def mention_pattern(surnames: Column, given: Column) -> Column:
+    """What mentions of these names look like: whole words that begin with a capital, in whatever case else; null without names."""
+    every = F.array_union(surnames, given)
+    # names hold letters, apostrophes and hyphens alone; the longest is tried first
+    ordered = F.reverse(F.array_sort(F.transform(every, lambda n: F.struct(F.length(n).alias("size"), n.alias("name")))))
+    longest = F.array_join(F.transform(ordered, lambda x: x["name"]), "|")
+    return F.when(F.size(every) > 0, F.concat(F.lit(_EDGE + r"(?=\p{Lu})(?iu:"), longest, F.lit(")" + _STOP)))
+
+
+def with_mentions(parts: Column, surnames: Column, pattern: Column) -> Column:
+    """Segments with every bare mention of the document's names as a segment of its own. A word that is both is a surname."""
+    none = F.lit(None).cast("string")
+
+    def both(literal: Column, match: Column) -> Column:
+        kind = F.when(F.array_contains(surnames, F.lower(match)), "surname").otherwise("given:u")
+        keep = F.struct(none.alias("kind"), literal.alias("value"), none.alias("canonical"))
+        found = F.struct(kind.alias("kind"), match.alias("value"), F.lower(match).alias("canonical"))
+        return F.when(match.isNull(), F.array(keep)).otherwise(F.array(keep, found))
+
+    def one(part: Column) -> Column:
+        cut = F.zip_with(F.split(part["value"], pattern, -1), F.regexp_extract_all(part["value"], pattern, F.lit(0)), both)
+        return F.when(part["kind"].isNull(), F.flatten(cut)).otherwise(F.array(part))
+
+    return F.when(pattern.isNotNull(), F.flatten(F.transform(parts, one))).otherwise(parts)
+
+
 class _Stream:
     """Numbers 0-255 from a keyed hash of the entity and the attempt."""
 
     def __init__(self, key: str, kind: Column, canonical: Column, attempt: Column):
-        seed = F.concat_ws("\x1f", F.lit(key), kind, canonical, attempt.cast("string"))
+        # the gender of a given name only chooses its ending
+        seed = F.concat_ws("\x1f", F.lit(key), F.substring_index(kind, ":", 1), canonical, attempt.cast("string"))
         first = F.sha2(seed, 512)
         self.hex = F.concat(first, F.sha2(first, 512))
 
@@ -203,9 +238,20 @@ def in_format(kind: Column, value: Column, found: Column) -> Column:
 
 
 def mapping(entities: DataFrame, key: str = KEY, attempts: int = ATTEMPTS) -> DataFrame:
-    """Distinct (kind, canonical) with their surrogates, all distinct and none of them an entity that occurs."""
+    """Distinct (kind, canonical) with their surrogates, all distinct and none of them an entity that occurs.
+
+    A given name is one entity, whatever its titles: its gender is that of the titles that tell one, and open where
+    none does or they differ.
+    """
     kind, canonical = F.col("kind"), F.col("canonical")
-    named = common.written(entities.select("kind", "canonical").distinct().withColumn("attempt", F.lit(0)), "entities")
+    found = entities.groupBy(F.substring_index("kind", ":", 1).alias("base"), "canonical").agg(
+        F.max(kind == "given:m").alias("m"), F.max(kind == "given:f").alias("f")
+    )
+    gender = F.when(F.col("m") & ~F.col("f"), "m").when(F.col("f") & ~F.col("m"), "f").otherwise("u")
+    named = common.written(
+        found.select(F.when(F.col("base") == "given", F.concat(F.lit("given:"), gender)).otherwise(F.col("base")).alias("kind"), "canonical", F.lit(0).alias("attempt")),
+        "entities",
+    )
     for _ in range(attempts):
         tried = named.withColumn("surrogate", surrogate(kind, canonical, F.col("attempt"), key))
         claims = tried.select("kind", "canonical", "attempt", "surrogate", F.col("surrogate").alias("claimed")).unionByName(
@@ -233,14 +279,18 @@ def replace_entities(docs: DataFrame, text: str = "text", key: str = KEY) -> Dat
     body = F.col(f"`{text}`")
     # nested conditions, as a conjunction of two patterns may be evaluated in either order
     has = F.coalesce(F.when(body.rlike(HINT), body.rlike(PATTERN)).otherwise(False), F.lit(False))
-    row, parts = _fresh(docs, "row_"), _fresh(docs, "parts_")
-    with_ = common.written(
-        docs.filter(has).withColumn(row, F.monotonically_increasing_id()).withColumn(parts, segments(body)), "with-entities"
-    )
+    row, parts, surnames, given, pattern = (_fresh(docs, x) for x in ("row_", "parts_", "surnames_", "given_", "pattern_"))
+    split = docs.filter(has).withColumn(row, F.monotonically_increasing_id()).withColumn(parts, segments(body))
+    # columns of their own, so that each is worked out once a row and not once a segment
+    split = split.withColumns({surnames: names_in(F.col(parts), "surname"), given: names_in(F.col(parts), "given")})
+    split = split.withColumn(pattern, mention_pattern(F.col(surnames), F.col(given)))
+    split = split.withColumn(parts, with_mentions(F.col(parts), F.col(surnames), F.col(pattern)))
+    with_ = common.written(split.drop(surnames, given, pattern), "with-entities")
     one = with_.select(F.col(row).alias("row"), F.posexplode(parts).alias("at", "part")).filter("part.kind is not null").select(
         "row", "at", "part.kind", "part.value", "part.canonical"
     )
-    looked_up = one.join(mapping(one, key), ["kind", "canonical"]).select(
+    base = F.substring_index("kind", ":", 1)
+    looked_up = one.withColumn("kind", base).join(mapping(one, key).withColumn("kind", base), ["kind", "canonical"]).select(
         "row", F.struct("at", in_format(F.col("kind"), F.col("value"), F.col("surrogate")).alias("new")).alias("change")
     )
     changes = looked_up.groupBy("row").agg(F.map_from_entries(F.collect_list("change")).alias("changes"))

@@ -442,3 +442,21 @@ def test_long_secrets_are_replaced_whole(spark):
         old, new = secrets[r.doc_id], r.text.split()[1]
         assert r.n_entities == 1 and len(new) == len(old) and r.text == f"key {new} end"
         assert not any(old[k : k + 16] in new for k in range(5, len(old) - 16))
+
+
+def test_names_are_replaced_wherever_their_document_has_them(spark):
+    rows = [
+        (1, "Byron came. Dr. Ada Byron spoke; Ms. Ada Byron left. Byron's friend BYRON and Ada (Byron) met Byronic Adalbert."),
+        (2, "Byron is nobody's name here, mail x@corp.com"), (3, "Mr. Ada-Lee O'Neil and Mrs. O'Neil: O'Neil, Ada-Lee, Ada"),
+    ]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r for r in surrogates.replace_entities(frame).collect()}
+    m = re.fullmatch(r"(\w+) came\. Dr\. (\w+) (\w+) spoke; Ms\. (\w+) (\w+) left\. (\w+)'s friend (\w+) and (\w+) \((\w+)\) met Byronic Adalbert\.", found[1].text)
+    assert m and m[1] == m[3] == m[5] == m[6] == m[9] != "Byron" and m[7] == m[1].upper() and m[2] == m[4] == m[8] != "Ada"
+    # the title that tells a gender gives the ending
+    assert m[2].endswith("a") and found[1].n_entities == 9
+    assert found[2].text.startswith("Byron is nobody's name here") and found[2].n_entities == 1
+    m = re.fullmatch(r"Mr\. (\w+) (\w+) and Mrs\. (\w+): (\w+), (\w+), Ada", found[3].text)
+    assert m and m[2] == m[3] == m[4] and m[1] == m[5]
+    one = surrogates.mapping(spark.createDataFrame([("given:u", "ada"), ("given:f", "ada")], "kind string, canonical string")).collect()
+    assert [(r.kind, r.canonical) for r in one] == [("given:f", "ada")]
