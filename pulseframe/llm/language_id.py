@@ -187,6 +187,12 @@ def query(spark, sf_dir):
 
 
 def accept(docs: DataFrame) -> DataFrame:
-    """Pipeline stage: documents whose language can be told; those without any letter are rejected."""
-    found = identify(docs)
+    """Pipeline stage: documents whose language can be told; those without any letter are rejected.
+
+    Where no row has a language to learn from, every document with a letter stays.
+    """
+    profiles = train(training_rows(docs))
+    if not profiles:
+        return docs.filter(F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
+    found = predict(docs, profiles)
     return found.filter(F.col("lang_pred") != UNDETERMINED).select(*docs.columns)

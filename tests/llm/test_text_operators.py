@@ -460,3 +460,9 @@ def test_names_are_replaced_wherever_their_document_has_them(spark):
     assert m and m[2] == m[3] == m[4] and m[1] == m[5]
     one = surrogates.mapping(spark.createDataFrame([("given:u", "ada"), ("given:f", "ada")], "kind string, canonical string")).collect()
     assert [(r.kind, r.canonical) for r in one] == [("given:f", "ada")]
+
+
+def test_language_stage_keeps_lettered_documents_without_profiles(spark, docs):
+    kept = language_id.accept(docs.withColumn("lang", F.lit(None).cast("string")))
+    assert kept.columns == docs.columns
+    assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(map(str, [4, 5, 5, 6, None, 9]))
