@@ -6,10 +6,13 @@ from . import (
     chat_format,
     compression_classifier,
     decontamination,
+    hard_negatives,
     jaccard_join,
     language_id,
+    license_scan,
     masked_lm,
     packing,
+    prefix_trie,
     quality_rules,
     surrogates,
     warc,
@@ -26,6 +29,9 @@ QUERIES = {
     "op8_quality_rules": quality_rules.query,
     "op9_surrogates": surrogates.query,
     "op10_language_id": language_id.query,
+    "op11_hard_negatives": hard_negatives.query,
+    "op12_license_scan": license_scan.query,
+    "op13_prefix_trie": prefix_trie.query,
 }
 
 SQL = {
@@ -33,4 +39,7 @@ SQL = {
     "op3_chat_format": chat_format.SQL,
     "op4_warc_bundles": warc.SQL,
     "op7_jaccard_join": jaccard_join.SQL,
+    "op11_hard_negatives": hard_negatives.SQL,
+    "op12_license_scan": license_scan.SQL,
+    "op13_prefix_trie": prefix_trie.SQL,
 }
