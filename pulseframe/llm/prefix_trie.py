@@ -132,8 +132,8 @@ _PARTIAL = (
 )
 
 
-def _walked(table: pa.Table) -> pa.Table:
-    """Nodes of one (shard, slab): rows without a key are conversations at the slab's begin, the others turns."""
+def _walked(depths: int, table: pa.Table) -> pa.Table:
+    """Nodes of one (shard, slab of ``depths``): rows without a key are conversations at the slab's begin, the others turns."""
     index, starts, ended = Postings(), defaultdict(int), defaultdict(int)
     columns = [table.column(c).to_pylist() for c in ("conv", "pos", "key", "words", "e1", "e2", "length")]
     shard, slab = table.column("shard")[0].as_py(), table.column("slab")[0].as_py()
@@ -145,7 +145,7 @@ def _walked(table: pa.Table) -> pa.Table:
         else:
             index.add(conv & mask, pos, key, words, e1, e2)
     out: dict[str, list] = {c.split()[0]: [] for c in _PARTIAL.split(", ")}
-    first, base = slab * SLAB, shard << SHARD_BITS
+    first, base = slab * depths, shard << SHARD_BITS
     stack = [(bits, first, e1, e2, None, None, 0) for (e1, e2), bits in starts.items()]
     while stack:
         bits, depth, e1, e2, p1, p2, words = stack.pop()
@@ -155,7 +155,7 @@ def _walked(table: pa.Table) -> pa.Table:
             ends = ",".join(str(base + k) for k in members(over)) if over else None
             for name, value in zip(out, (depth, e1, e2, p1, p2, len(inside), base + inside[0], words, shard, inside, ends), strict=True):
                 out[name].append(value)
-        if depth < first + SLAB:
+        if depth < first + depths:
             for child, key in index.children(bits, depth + 1):
                 words, x1, x2 = index.told[depth + 1, key]
                 stack.append((child, depth + 1, e1 ^ x1, e2 ^ x2, e1, e2, words))
@@ -180,7 +180,8 @@ def shard_nodes(known: DataFrame, turns: DataFrame) -> DataFrame:
         "conv", "length", (F.col("slab") * SLAB).alias("pos"), F.lit(None).cast("binary").alias("key"), zero.alias("words"), "slab", "e1", "e2"
     )
     rows = begins.unionByName(hashed).withColumn("shard", F.shiftright("conv", SHARD_BITS))
-    return common.written(rows.groupBy("shard", "slab").applyInArrow(_walked, _PARTIAL), "shard-nodes")
+    depths = SLAB
+    return common.written(rows.groupBy("shard", "slab").applyInArrow(lambda table: _walked(depths, table), _PARTIAL), "shard-nodes")
 
 
 def _digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
