@@ -15,6 +15,7 @@ from pulseframe.operators import counters
 from pulseframe.operators.correlate import HOST, INTERFACE, attach, per_clock_counts, status_transitions
 from pulseframe.operators.quantiles import distribution
 from pulseframe.operators.timeline import as_of, near, per_clock, with_neighbours
+from pulseframe.plans import staging
 from pulseframe.vocab import DISCARD_METRICS
 
 # Reach of the neighbour search, span of a host cluster, shares of a verdict, length of the period list.
@@ -60,29 +61,40 @@ def same_clock_clusters(events: DataFrame, metrics: Sequence[str] = DISCARD_METR
     ).filter("events >= 2")
 
 
+def reached(starts: DataFrame, jumps: DataFrame, key: Sequence[str]) -> DataFrame:
+    """(key, clock) of everything that ``starts`` lead to along ``jumps`` (key, clock, target), by pointer doubling.
+
+    Each round joins the jumps with themselves, so that they go twice as far, and drops those that have no end any more:
+    the logarithm of the longest way is all the rounds there are, and no way is ever one row.
+    """
+    found = starts.select(*key, "clock")
+    while not jumps.isEmpty():
+        stepped = found.join(jumps, [*key, "clock"]).select(*key, F.col("target").alias("clock"))
+        found = staging.materialise(found.unionByName(stepped).distinct(), "reached")
+        onward = jumps.select(*key, F.col("clock").alias("target"), F.col("target").alias("further"))
+        jumps = staging.materialise(jumps.join(onward, [*key, "target"]).select(*key, "clock", F.col("further").alias("target")), "jumps")
+    return found
+
+
 def anchored(events: DataFrame, span: int = CLUSTER_SPAN_SEC) -> DataFrame:
     """(hostid, clock, start): each event clock with the first clock of its cluster.
 
-    A cluster takes what lies within ``span`` of its first event. A gap beyond ``span`` ends a cluster for certain, so
-    hosts are cut there; only a piece longer than ``span`` is folded, over its distinct seconds.
+    A cluster takes what lies within ``span`` of its first event, so the cluster after that of c begins at the first clock
+    beyond c + span. A clock that has no other within ``span`` before it begins a cluster for certain; the other beginnings
+    are what these lead to, jump by jump.
     """
     points = events.na.drop(subset=[*HOST, "clock"]).select("hostid", "clock").distinct()
+    points = staging.materialise(points, "event-clocks")
     chained = with_neighbours(points, HOST, ["clock"])
-    borders = chained.filter(F.col("previous").isNull() | (F.col("clock") - F.col("previous.clock") > span))
-    placed = as_of(points, borders.select("hostid", "clock"), HOST, []).select("hostid", "clock", F.col("before.clock").alias("piece"))
-    none = F.lit(None).cast("bigint")
-
-    def step(state: Column, clock: Column) -> Column:
-        start = F.when(state["start"].isNull() | (clock - state["start"] > span), clock).otherwise(state["start"])
-        return F.struct(start.alias("start"), F.concat(state["starts"], F.array(start)).alias("starts"))
-
-    pieces = placed.groupBy("hostid", "piece").agg(F.array_sort(F.collect_list("clock")).alias("clocks"))
-    long = F.element_at("clocks", -1) - F.col("piece") > span
-    folded = F.aggregate("clocks", F.struct(none.alias("start"), F.array().cast("array<bigint>").alias("starts")), step)["starts"]
-    starts = F.when(long, folded).otherwise(F.transform("clocks", lambda _: F.col("piece")))
-    return pieces.select("hostid", F.explode(F.arrays_zip("clocks", starts.alias("starts"))).alias("p")).select(
-        "hostid", F.col("p.clocks").alias("clock"), F.col("p.starts").alias("start")
-    )
+    certain = chained.filter(F.col("previous").isNull() | (F.col("clock") - F.col("previous.clock") > span)).select("hostid", "clock")
+    certain = staging.materialise(certain, "heads")
+    beyond = as_of(points.select("hostid", (F.col("clock") + span).alias("clock")), points, HOST, [])
+    # a jump to a certain beginning tells nothing new
+    jumps = beyond.filter(F.col("after").isNotNull()).select("hostid", (F.col("clock") - span).alias("clock"), F.col("after.clock").alias("target")).join(
+        certain.select("hostid", F.col("clock").alias("target")), ["hostid", "target"], "left_anti"
+    ).select("hostid", "clock", "target")
+    starts = reached(certain, staging.materialise(jumps, "jumps"), HOST)
+    return as_of(points, starts, HOST, []).select("hostid", "clock", F.col("before.clock").alias("start"))
 
 
 def host_clusters(events: DataFrame, span: int = CLUSTER_SPAN_SEC, metrics: Sequence[str] = DISCARD_METRICS) -> DataFrame:

@@ -144,15 +144,17 @@ def as_of(
         .unionByName(points.select(*key, "clock", sample.alias("_point")), allowMissingColumns=True)
         .withColumn("_slice", floor_bucket(clock, DAY_SEC))
     )
-    base = Window.partitionBy(*key, "_slice").orderBy("clock")
+    slices = Window.partitionBy(*key, "_slice")
+    # both frames grow row by row; one that ends at the slice's end would be read anew for every row
     inner = line.select(
         *key, "clock", "_slice", "_event",
         F.last("_point", ignorenulls=True)
-        .over(base.rangeBetween(Window.unboundedPreceding, 0)).alias("_in_before"),
-        F.first("_point", ignorenulls=True)
-        .over(base.rangeBetween(1, Window.unboundedFollowing)).alias("_in_after"),
+        .over(slices.orderBy("clock").rangeBetween(Window.unboundedPreceding, 0)).alias("_in_before"),
+        F.last("_point", ignorenulls=True)
+        .over(slices.orderBy(F.desc("clock")).rangeBetween(Window.unboundedPreceding, -1)).alias("_in_after"),
     ).filter(F.col("_event"))
     across = Window.partitionBy(*key).orderBy("_slice")
+    back = Window.partitionBy(*key).orderBy(F.desc("_slice"))
     carry = (
         line.groupBy(*key, "_slice")
         .agg(
@@ -163,8 +165,8 @@ def as_of(
             *key, "_slice",
             F.last("_tail", ignorenulls=True)
             .over(across.rowsBetween(Window.unboundedPreceding, -1)).alias("_out_before"),
-            F.first("_head", ignorenulls=True)
-            .over(across.rowsBetween(1, Window.unboundedFollowing)).alias("_out_after"),
+            F.last("_head", ignorenulls=True)
+            .over(back.rowsBetween(Window.unboundedPreceding, -1)).alias("_out_after"),
         )
     )
     return inner.join(carry, [*key, "_slice"], "left").select(

@@ -1,5 +1,7 @@
 """Hand-made cases of decreases in time, of brackets and of series behaviour."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -28,6 +30,29 @@ def test_clusters_reach_across_a_day(spark):
     assert [(r.start, r.end, r.events) for r in found] == [(86_390, 86_450, 3)]
 
 
+def anchors(clocks, span=60):
+    start, out = None, {}
+    for c in sorted(set(clocks)):
+        start = c if start is None or c - start > span else start
+        out[c] = start
+    return out
+
+
+def test_anchors_of_random_clocks_equal_a_fold(spark):
+    rng = random.Random(8)
+    clocks = {h: [rng.randrange(40_000) for _ in range(900)] + [90_000 + 7 * k for k in range(300)] for h in ("a", "b")}
+    rows = spark.createDataFrame([("i", h, 1, "in_discard_rate", c) for h, cs in clocks.items() for c in cs] + [("i", None, 1, "x", 5), ("i", "a", 1, "x", None)], EVENT)
+    found = {(r.hostid, r.clock): r.start for r in clusters.anchored(rows).collect()}
+    assert found == {(h, c): s for h, cs in clocks.items() for c, s in anchors(cs).items()}
+
+
+def test_a_host_busy_every_second(spark):
+    rows = spark.range(100_000).select(F.lit("h").alias("hostid"), F.col("id").alias("clock"), F.lit(1).alias("ifindex"), F.lit("in_discard_rate").alias("canonical_metric"))
+    found = clusters.anchored(rows)
+    assert "collect_list" not in found._jdf.queryExecution().toString()
+    assert found.count() == 100_000 and found.filter("start <> clock - clock % 61").count() == 0
+
+
 def test_neighbours_and_same_clock(spark):
     rows = events(spark, [0, 0, 0, 4, 100]).unionByName(events(spark, [130, None], "k"))
     found = {r.window_sec: (r.events, r.events_with_neighbour, r.events_with_later, r.share_pct) for r in clusters.neighbour_statistics(rows).collect()}
