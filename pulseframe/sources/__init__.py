@@ -1,0 +1 @@
+"""Scans and sinks: JSON lines, nested documents, landed points, reports, matrices and ordered files."""
