@@ -20,7 +20,7 @@ def significant(number: Column, digits: int = DIGITS) -> Column:
 
     Exponents from -4 to below ``digits`` are written out, others as mantissa and exponent of at least two figures; zeros behind
     the last other digit go, and so does a point behind which nothing is left. Digits come from the shortest text of the
-    number, rounded half up.
+    number, rounded half up; of subnormal numbers (below 2.3e-308) no more are shown.
     """
     number = number.cast("double")
     text = F.format_string(f"%.{digits - 1}e", number)
