@@ -331,20 +331,22 @@ def bucketed(prints: DataFrame, leads: DataFrame, group: list[str]) -> DataFrame
     )
 
 
-def apart(buckets: DataFrame, members: DataFrame, nodes: DataFrame, label: DataFrame) -> DataFrame:
-    """(token, node, label, n, at, size) of buckets, and of groups, whose members are in different classes.
+def still_open(buckets: DataFrame, known: DataFrame) -> DataFrame:
+    """(token, lead, at, size) of buckets, and of groups, whose members are in different classes, and that hold more than two.
 
-    Groups are expanded here: every member is where its lead is. Two nodes alone have met already.
+    ``known`` (lead, node, n, label) has every node. The least and greatest label of each group tell which buckets are open,
+    before any group is expanded; two nodes alone have met already.
     """
-    known = members.join(label, "node", "left").select("lead", "node", "n", F.coalesce("component", "node").alias("label"))
-    spread = buckets.select("token", F.col("node").alias("lead"), "at").join(known, "lead").select("token", "node", "label", "n", "at")
-    # a group is a bucket as well; its name cannot be a shingle's, whose two highest bits are a rank's
-    inside = known.select(F.concat(F.lit("g"), F.col("lead")).alias("token"), "node", "label", "n", F.lit(0).cast("long").alias("at"))
-    both = spread.withColumn("token", F.col("token").cast("string")).unionByName(inside)
-    open_ = both.groupBy("token").agg(
-        F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("size")
+    ranges = common.written(known.groupBy("lead").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("members")), "ranges")
+    open_ = buckets.join(ranges, "lead").groupBy("token").agg(
+        F.min("low").alias("low"), F.max("high").alias("high"), F.sum("members").alias("size")
     ).filter("low <> high and size > 2").select("token", "size")
-    return common.written(both.join(open_, "token"), "rest")
+    return buckets.select("token", "lead", "at").join(open_, "token")
+
+
+def apart(open_: DataFrame, known: DataFrame) -> DataFrame:
+    """(token, node, label, n, at, size): the members of open buckets. Groups are expanded here: every member is where its lead is."""
+    return common.written(open_.join(known, "lead").select("token", "node", "label", "n", "at", "size"), "rest")
 
 
 def classes(docs: DataFrame, rule: Rule) -> DataFrame:
@@ -380,9 +382,16 @@ def classes(docs: DataFrame, rule: Rule) -> DataFrame:
     links = common.written(verified(tried, nodes, docs, rule), "links")
     label = graph.components(links)
 
+    # a group is a bucket as well; its name cannot be a shingle's, whose two highest bits are a rank's
+    met = buckets.select(F.col("token").cast("string").alias("token"), F.col("node").alias("lead"), "at")
+    grouped = leads.select(F.concat(F.lit("g"), F.col("node")).alias("token"), F.col("node").alias("lead"), F.lit(0).cast("long").alias("at"))
+    open_ = met.unionByName(grouped)
     most = FIRST
     while True:
-        rest = apart(buckets, members, nodes, label)
+        known_at = common.written(members.join(label, "node", "left").select("lead", "node", "n", F.coalesce("component", "node").alias("label")), "known")
+        # classes only grow, so what is closed stays closed
+        open_ = common.written(still_open(open_, known_at), "open")
+        rest = apart(open_, known_at)
         # the bitmaps are part of the join's condition: what they rule out is never a row
         few = rest.filter(F.col("size") <= SMALL).join(parity_words(nodes), "node")
         pairs = few.alias("x").join(few.alias("y"), F.col("x.token") == F.col("y.token")).filter(
