@@ -11,7 +11,6 @@ from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -87,7 +86,9 @@ def id_remainder(id_column: str, modulus: int) -> Column:
     return F.crc32(text.cast("binary")) % modulus
 
 
-def _added(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+def _added(key, rows):
+    import pandas as pd  # in workers of this step alone: it takes tens of MB of each
+
     total = np.frombuffer(rows["data"].iloc[0], dtype=np.float64).copy()
     for data in rows["data"].iloc[1:]:
         total += np.frombuffer(data, dtype=np.float64)

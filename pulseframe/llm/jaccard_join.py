@@ -30,7 +30,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
@@ -240,8 +239,10 @@ def near_enough(pairs: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
     return both.filter(~out).select("a", "b", "more")
 
 
-def _closest(found: list[np.ndarray], most: int) -> pd.DataFrame:
-    """Of rows (p, q, apart, a, b) the ``most`` closest of each two classes."""
+def _closest(found: list[np.ndarray], most: int):
+    """Of rows (p, q, apart, a, b) the ``most`` closest of each two classes, as a pandas table."""
+    import pandas as pd  # in workers of this step alone: it takes tens of MB of each
+
     rows = np.concatenate(found) if found else np.zeros((0, 5), dtype=np.int64)
     out = pd.DataFrame(rows, columns=["p", "q", "apart", "a", "b"]).drop_duplicates().sort_values(["p", "q", "apart", "a", "b"])
     return out[out.groupby(["p", "q"]).cumcount() < most]
@@ -254,7 +255,7 @@ def _blocks_compared(rule: Rule, most: int):
     and with it ``more``, falls to ``near_enough``.
     """
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
+    def run(rows):
         bits = np.frombuffer(b"".join(rows["parity"]), dtype=np.uint64).reshape(len(rows), BITS // 64)
         large = rows["wide"].notna().to_numpy()
         at_wide = np.cumsum(large) - 1
