@@ -311,6 +311,41 @@ def test_surrogates_stay_distinct(spark):
     assert len(found) == 26 == len({r.surrogate for r in found}) and not {r.surrogate for r in found} & {r.canonical for r in found}
 
 
+def test_crowded_formats_are_permuted(spark):
+    phones = [("phone", f"+7|{k:04d}") for k in range(10000)] + [("phone", f"+49|{k}") for k in range(10)] + [("phone", "+1|0175557713")]
+    cards = [("card", "4111111111111111"), ("ssn", "123456789"), ("ip", "10.2.3.4")]
+    found = {(r.kind, r.canonical): r.surrogate for r in surrogates.mapping(spark.createDataFrame(phones + cards, "kind string, canonical string")).collect()}
+    assert found.keys() == set(phones + cards)
+    by = {country: {old: new for (_, old), new in found.items() if old.startswith(country + "|")} for country in ("+7", "+49")}
+    # every form is an entity, so the surrogates are all forms again, and none is its own
+    assert all(set(x.values()) == set(x) and all(a != b for a, b in x.items()) for x in by.values())
+    assert all(found[x] != x[1] and found[x] not in {y for _, y in found} for x in [*cards, phones[-1]])
+    texts = spark.createDataFrame([(k, f"call +7 {k // 100:02d} {k % 100:02d} now") for k in range(6000)], "doc_id long, text string")
+    new = surrogates.replace_entities(texts).collect()
+    assert len({r.text for r in new}) == 6000 and all(re.fullmatch(r"call \+7 \d\d \d\d now", r.text) for r in new)
+
+
+def test_permutation_is_one_cycle(spark):
+    from pyspark.sql import functions as F
+
+    def followed(kind, size):
+        old = F.concat(F.lit("+1|"), F.lpad(F.col("id").cast("string"), size, "0")) if kind == "phone" else F.lpad(F.col("id").cast("string"), size, "0")
+        rows = spark.range(10**size).select(old.alias("old"), surrogates.permuted(F.lit(kind), old, "k").alias("new")).collect()
+        return {r.old: r.new for r in rows}
+
+    for kind, size in (("phone", 1), ("phone", 3), ("ssn", 4)):
+        step = followed(kind, size)
+        at = start = next(iter(step))
+        for k in range(1, len(step) + 1):
+            at = step[at]
+            if at == start:
+                break
+        assert k == len(step)
+    ip = spark.createDataFrame([(f"{a}.2.3.{b}",) for a in range(0, 256, 5) for b in range(256)], "old string")
+    new = [r.new for r in ip.select(surrogates.permuted(F.lit("ip"), F.col("old"), "k").alias("new")).collect()]
+    assert len(set(new)) == len(new) and all(len(x.split(".")) == 4 and all(0 <= int(y) < 256 for y in x.split(".")) for x in new)
+
+
 # language model
 
 
