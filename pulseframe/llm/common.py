@@ -11,6 +11,7 @@ from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -86,13 +87,12 @@ def id_remainder(id_column: str, modulus: int) -> Column:
     return F.crc32(text.cast("binary")) % modulus
 
 
-def _added(key, rows):
-    import pandas as pd  # in workers of this step alone: it takes tens of MB of each
-
-    total = np.frombuffer(rows["data"].iloc[0], dtype=np.float64).copy()
-    for data in rows["data"].iloc[1:]:
-        total += np.frombuffer(data, dtype=np.float64)
-    return pd.DataFrame({"key": [key[0]], "data": [total.tobytes()]})
+def _added(rows: pa.Table) -> pa.Table:
+    data = rows.column("data")
+    total = np.frombuffer(data[0].as_buffer(), dtype=np.float64).copy()
+    for k in range(1, len(data)):
+        total += np.frombuffer(data[k].as_buffer(), dtype=np.float64)
+    return pa.table({"key": pa.array([rows.column("key")[0].as_py()], pa.int32()), "data": pa.array([total.tobytes()], pa.binary())})
 
 
 def summed_arrays(partials: DataFrame) -> dict[int, np.ndarray]:
@@ -101,10 +101,10 @@ def summed_arrays(partials: DataFrame) -> dict[int, np.ndarray]:
     Two levels of groups keep every group small however many tasks contribute. The result has one array for
     each key: callers use a fixed number of keys of fixed length, so what reaches the driver has a fixed size.
     """
-    first = partials.groupBy("key", (F.col("salt") % SUM_SALTS).alias("salt")).applyInPandas(
+    first = partials.groupBy("key", (F.col("salt") % SUM_SALTS).alias("group")).applyInArrow(
         _added, "key int, data binary"
     )
-    total = first.groupBy("key").applyInPandas(_added, "key int, data binary")
+    total = first.groupBy("key").applyInArrow(_added, "key int, data binary")
     return {r["key"]: np.frombuffer(bytes(r["data"]), dtype=np.float64) for r in total.collect()}
 
 

@@ -239,13 +239,16 @@ def near_enough(pairs: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
     return both.filter(~out).select("a", "b", "more")
 
 
-def _closest(found: list[np.ndarray], most: int):
-    """Of rows (p, q, apart, a, b) the ``most`` closest of each two classes, as a pandas table."""
-    import pandas as pd  # in workers of this step alone: it takes tens of MB of each
-
-    rows = np.concatenate(found) if found else np.zeros((0, 5), dtype=np.int64)
-    out = pd.DataFrame(rows, columns=["p", "q", "apart", "a", "b"]).drop_duplicates().sort_values(["p", "q", "apart", "a", "b"])
-    return out[out.groupby(["p", "q"]).cumcount() < most]
+def _closest(found: list[np.ndarray], most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of rows (p, q, apart, a, b) the ``most`` closest of each two classes, the place of each, and how many these had."""
+    rows = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 5), dtype=np.int64)
+    new = np.ones(len(rows), dtype=bool)
+    new[1:] = (rows[1:, :2] != rows[:-1, :2]).any(axis=1)
+    first = np.flatnonzero(new)
+    size = np.diff(np.append(first, len(rows)))
+    place = np.arange(len(rows)) - np.repeat(first, size)
+    kept = place < most
+    return rows[kept], place[kept], np.repeat(np.minimum(size, most), size)[kept]
 
 
 def _blocks_compared(rule: Rule, most: int):
@@ -255,13 +258,13 @@ def _blocks_compared(rule: Rule, most: int):
     and with it ``more``, falls to ``near_enough``.
     """
 
-    def run(rows):
-        bits = np.frombuffer(b"".join(rows["parity"]), dtype=np.uint64).reshape(len(rows), BITS // 64)
-        large = rows["wide"].notna().to_numpy()
+    def run(rows: pa.Table) -> pa.Table:
+        bits = np.frombuffer(b"".join(column_bytes(rows.column("parity").combine_chunks())), dtype=np.uint64).reshape(len(rows), BITS // 64)
+        large = rows.column("wide").is_valid().to_numpy()
         at_wide = np.cumsum(large) - 1
-        wide = np.array(rows["wide"][large].tolist(), dtype=np.int64).reshape(-1, WIDE_BITS // 64).view(np.uint64)
-        n, label, node = (rows[c].to_numpy() for c in ("n", "label", "node"))
-        left, right = np.flatnonzero(rows["side"] == 0), np.flatnonzero(rows["side"] == 1)
+        wide = rows.column("wide").combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(-1, WIDE_BITS // 64).view(np.uint64)
+        n, label, node, side = (rows.column(c).to_numpy() for c in ("n", "label", "node", "side"))
+        left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
         if not len(right):
             right = left
         found, held, bound = [], 0, HELD
@@ -282,12 +285,12 @@ def _blocks_compared(rule: Rule, most: int):
                 found.append(np.column_stack((p, q, apart[near], np.where(first, node[i], node[k]), np.where(first, node[k], node[i]))))
                 held += len(near)
             if held > bound:  # one more than asked for stays, so that the end can tell whether any were held back
-                found = [_closest(found, most + 1).to_numpy()]
+                found = [_closest(found, most + 1)[0]]
                 held = len(found[0])
                 bound = max(HELD, 2 * held)
-        out = _closest(found, most + 1)
-        place, size = out.groupby(["p", "q"]).cumcount(), out.groupby(["p", "q"])["a"].transform("size")
-        return out.assign(more=size > most)[place < most][["a", "b", "more"]]
+        out, place, size = _closest(found, most + 1)
+        kept = place < most
+        return pa.table({"a": pa.array(out[kept, 3]), "b": pa.array(out[kept, 4]), "more": pa.array((size > most)[kept])})
 
     return run
 
@@ -316,7 +319,7 @@ def large_bucket_pairs(rest: DataFrame, nodes: DataFrame, rule: Rule, most: int)
         meet.filter("i <> j").select("token", "i", "j", F.col("j").alias("block"), F.lit(1).alias("side"))
     )
     dealt = sides.join(placed, ["token", "block"]).select("token", "i", "j", "side", "node", "label", "n", "parity", "wide")
-    return dealt.groupBy("token", "i", "j").applyInPandas(_blocks_compared(rule, most), "a bigint, b bigint, more boolean")
+    return dealt.groupBy("token", "i", "j").applyInArrow(_blocks_compared(rule, most), "a bigint, b bigint, more boolean")
 
 
 def bucketed(prints: DataFrame, leads: DataFrame, group: list[str]) -> DataFrame:
@@ -381,17 +384,23 @@ def classes(docs: DataFrame, rule: Rule) -> DataFrame:
     # the pivots recur on the left, so their sets are built once for a run of rows
     tried = common.written(near_enough(inside.unionByName(to_pivot).distinct().withColumn("more", F.lit(False)), nodes, rule).drop("more"), "pairs")
     links = common.written(verified(tried, nodes, docs, rule), "links")
-    label = graph.components(links)
+    label, renamed = graph.components(links), None
+
+    def labelled(rows: DataFrame) -> DataFrame:
+        """``rows`` (node and others) with the class each node is in so far."""
+        named = rows.join(label, "node", "left").withColumn("label", F.coalesce("component", "node")).drop("component")
+        return named if renamed is None else named.join(renamed, "label", "left").withColumn("label", F.coalesce("new", "label")).drop("new")
 
     # a group is a bucket as well; its name cannot be a shingle's, whose two highest bits are a rank's
     met = buckets.select(F.col("token").cast("string").alias("token"), F.col("node").alias("lead"), "at")
     grouped = leads.select(F.concat(F.lit("g"), F.col("node")).alias("token"), F.col("node").alias("lead"), F.lit(0).cast("long").alias("at"))
-    open_ = met.unionByName(grouped)
+    open_, within = met.unionByName(grouped), members
     most = FIRST
     while True:
-        known_at = common.written(members.join(label, "node", "left").select("lead", "node", "n", F.coalesce("component", "node").alias("label")), "known")
-        # classes only grow, so what is closed stays closed
+        known_at = common.written(labelled(within).select("lead", "node", "n", "label"), "known")
+        # classes only grow, so what is closed stays closed, and only members of open buckets are looked at again
         open_ = common.written(still_open(open_, known_at), "open")
+        within = known_at.select("lead", "node", "n").join(open_.select("lead").distinct(), "lead", "left_semi")
         rest = apart(open_, known_at)
         # the bitmaps are part of the join's condition: what they rule out is never a row
         few = rest.filter(F.col("size") <= SMALL).join(parity_words(nodes), "node")
@@ -407,14 +416,21 @@ def classes(docs: DataFrame, rule: Rule) -> DataFrame:
         listed = common.written(ordered.join(known, ["a", "b"], "left"), "pairs")
         untried = listed.filter("known is null").select("a", "b")
         if not untried.isEmpty():
-            links = common.written(links.unionByName(verified(untried, nodes, docs, rule)), "links")
-            label = graph.components(links)
+            found = common.written(verified(untried, nodes, docs, rule), "links")
+            # the new links join classes, and only these get other names
+            one = labelled(found.withColumnRenamed("a", "node")).select(F.col("label").alias("a"), F.col("b").alias("node"))
+            joined = graph.components(labelled(one).select("a", F.col("label").alias("b")))
+            changed = joined.select(F.col("node").alias("label"), F.col("component").alias("new"))
+            if renamed is not None:
+                earlier = renamed.join(joined, F.col("new") == F.col("node"), "left").select("label", F.coalesce("component", "new").alias("new"))
+                changed = earlier.unionByName(changed).distinct()
+            renamed = common.written(changed, "renamed")
             tried = tried.unionByName(untried)
         if listed.filter("more").isEmpty():
             break
         most *= 8
 
-    component = nodes.select(*signature, "node", "least").join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    component = labelled(nodes.select(*signature, "node", "least")).withColumnRenamed("label", "component")
     least = component.groupBy("component").agg(F.min("least").alias("component_id"))
     named = component.join(least, "component").select(*signature, "component", "component_id")
     linked = prints.filter("n > 0").select("doc_id", "row_key", *signature).join(named, signature)
