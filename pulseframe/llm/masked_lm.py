@@ -139,67 +139,104 @@ def unflat(values: np.ndarray) -> dict[str, np.ndarray]:
 
 def contexts(numbers: np.ndarray, doc: np.ndarray, first: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Numbers of the tokens around the positions ``at``; 0 beyond the ends of the text."""
-    out = np.zeros((len(at), len(OFFSETS)), dtype=np.int64)
+    own = doc[at]
+    begin, end = first[own], first[own + 1]
+    out = np.empty((len(at), len(OFFSETS)), dtype=np.int64)
     for k, offset in enumerate(OFFSETS):
         j = at + offset
-        inside = (j >= first[doc[at]]) & (j < first[doc[at] + 1])
-        out[inside, k] = numbers[j[inside]]
+        inside = (j >= begin) & (j < end)
+        out[:, k] = np.where(inside, numbers[np.where(inside, j, at)], 0)
     return out
 
 
-def _log_softmax(logits: np.ndarray) -> np.ndarray:
-    logits = logits - logits.max(axis=1, keepdims=True)
-    return logits - np.log(np.exp(logits).sum(axis=1, keepdims=True))
+def _by_class(target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Order of positions by the class of their target; in that order the class, the token in it, and where each class begins."""
+    order = np.argsort((target // CLASS_SIZE).astype(np.uint8), kind="stable")
+    group, word = np.divmod(target[order], CLASS_SIZE)
+    return order, group, word, np.searchsorted(group, np.arange(CLASSES + 1))
 
 
-def forward(w: dict[str, np.ndarray], context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    around = w["embed"][context]
-    return around, np.tanh((around * w["scale"]).sum(axis=1) + w["shift"])
+def forward(w: dict[str, np.ndarray], context: np.ndarray) -> np.ndarray:
+    """Hidden units, a row for each position."""
+    scaled = w["embed"] * w["scale"][:, None, :]
+    hidden = scaled[0][context[:, 0]]
+    for k in range(1, len(OFFSETS)):
+        hidden += scaled[k][context[:, k]]
+    hidden += w["shift"]
+    return np.tanh(hidden, out=hidden)
+
+
+def _class_logits(w: dict[str, np.ndarray], hidden: np.ndarray) -> np.ndarray:
+    """A column for each position, so that sums over the outcomes run along whole rows; so in ``_word_logits``."""
+    return w["to_class"].T @ hidden.T + w["class_bias"][:, None]
+
+
+def _word_logits(w: dict[str, np.ndarray], hidden: np.ndarray, edge: np.ndarray) -> np.ndarray:
+    out = np.empty((CLASS_SIZE, len(hidden)), dtype=hidden.dtype)
+    for k in range(CLASSES):
+        rows = slice(edge[k], edge[k + 1])
+        out[:, rows] = w["to_word"][k].T @ hidden[rows].T + w["word_bias"][k][:, None]
+    return out
+
+
+def _picked(logits: np.ndarray, outcome: np.ndarray) -> np.ndarray:
+    """Log-probability of one outcome a column. The logits are used up."""
+    logits -= logits.max(axis=0)
+    own = logits[outcome, np.arange(len(outcome))]
+    return own - np.log(np.exp(logits, out=logits).sum(axis=0))
+
+
+def _errors(logits: np.ndarray, outcome: np.ndarray) -> np.ndarray:
+    """Probabilities less 1 at the outcome, in the place of the logits."""
+    logits -= logits.max(axis=0)
+    np.exp(logits, out=logits)
+    logits /= logits.sum(axis=0)
+    logits[outcome, np.arange(len(outcome))] -= 1
+    return logits
 
 
 def log_probabilities(w: dict[str, np.ndarray], context: np.ndarray, target: np.ndarray) -> np.ndarray:
     """Log-probability of each target given its context."""
-    _, hidden = forward(w, context)
-    group, word = target // CLASS_SIZE, target % CLASS_SIZE
-    out = _log_softmax(hidden @ w["to_class"] + w["class_bias"])[np.arange(len(target)), group]
-    order = np.argsort(group, kind="stable")
-    edge = np.searchsorted(group[order], np.arange(CLASSES + 1))
-    for k in range(CLASSES):
-        rows = order[edge[k] : edge[k + 1]]
-        if len(rows):
-            inside = _log_softmax(hidden[rows] @ w["to_word"][k] + w["word_bias"][k])
-            out[rows] += inside[np.arange(len(rows)), word[rows]]
+    order, group, word, edge = _by_class(target)
+    hidden = forward(w, context[order])
+    out = np.empty(len(target), dtype=hidden.dtype)
+    out[order] = _picked(_class_logits(w, hidden), group) + _picked(_word_logits(w, hidden, edge), word)
+    return out
+
+
+def _sums_by_number(numbers: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Sum of the rows of each token number."""
+    order = np.argsort(numbers.astype(np.uint16), kind="stable")
+    found = numbers[order]
+    begin = np.flatnonzero(np.diff(found, prepend=-1))
+    out = np.zeros((VOCABULARY, rows.shape[1]), dtype=rows.dtype)
+    if len(begin):
+        out[found[begin]] = np.add.reduceat(np.ascontiguousarray(rows[order].T), begin, axis=1).T
     return out
 
 
 def gradients(w: dict[str, np.ndarray], context: np.ndarray, target: np.ndarray) -> dict[str, np.ndarray]:
     """Gradients of the summed negative log-probability."""
-    around, hidden = forward(w, context)
-    group, word = target // CLASS_SIZE, target % CLASS_SIZE
+    order, group, word, edge = _by_class(target)
+    context = context[order]
+    hidden = forward(w, context)
     g = {k: np.zeros(s, dtype=np.float32) for k, s in SHAPES.items()}
-    p = np.exp(_log_softmax(hidden @ w["to_class"] + w["class_bias"]))
-    p[np.arange(len(target)), group] -= 1
-    g["to_class"], g["class_bias"] = hidden.T @ p, p.sum(axis=0)
-    back = p @ w["to_class"].T
-    order = np.argsort(group, kind="stable")
-    edge = np.searchsorted(group[order], np.arange(CLASSES + 1))
+    p = _errors(_class_logits(w, hidden), group)
+    g["to_class"], g["class_bias"] = (p @ hidden).T, p.sum(axis=1)
+    back = p.T @ w["to_class"].T
+    q = _errors(_word_logits(w, hidden, edge), word)
+    and_one = np.append(hidden, np.ones((len(hidden), 1), dtype=hidden.dtype), axis=1)
     for k in range(CLASSES):
-        rows = order[edge[k] : edge[k + 1]]
-        if len(rows):
-            h = hidden[rows]
-            q = np.exp(_log_softmax(h @ w["to_word"][k] + w["word_bias"][k]))
-            q[np.arange(len(rows)), word[rows]] -= 1
-            g["to_word"][k], g["word_bias"][k] = h.T @ q, q.sum(axis=0)
-            back[rows] += q @ w["to_word"][k].T
+        rows = slice(edge[k], edge[k + 1])
+        both = q[:, rows] @ and_one[rows]
+        g["to_word"][k], g["word_bias"][k] = both[:, :-1].T, both[:, -1]
+        back[rows] += q[:, rows].T @ w["to_word"][k].T
     back *= 1 - hidden * hidden
     g["shift"] = back.sum(axis=0)
-    g["scale"] = (around * back[:, None, :]).sum(axis=0)
-    row = (back[:, None, :] * w["scale"]).reshape(-1, WIDTH)
-    place = context.ravel()
-    order = np.argsort(place, kind="stable")
-    sorted_ = place[order]
-    begin = np.flatnonzero(np.concatenate(([True], sorted_[1:] != sorted_[:-1])))
-    g["embed"][sorted_[begin]] = np.add.reduceat(row[order], begin, axis=0)
+    for k in range(len(OFFSETS)):
+        sums = _sums_by_number(context[:, k], back)
+        g["embed"] += sums * w["scale"][k]
+        g["scale"][k] = (w["embed"] * sums).sum(axis=0)
     return g
 
 
