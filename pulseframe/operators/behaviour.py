@@ -94,6 +94,15 @@ def latest(rows: DataFrame, most: int = LATEST, key: Sequence[str] = ("itemid",)
     return rows.withColumn("rank", place).filter(F.col("rank") <= most)
 
 
+def edge_samples(rows: DataFrame, most: int = CONTEXT_SAMPLES, key: Sequence[str] = ("itemid",)) -> DataFrame:
+    """The first and the last ``most`` samples of each series in (clock, ordinal) order; ``rank`` counts from that end."""
+    ends = []
+    for edge, way in (("first", F.asc), ("last", F.desc)):
+        place = F.row_number().over(Window.partitionBy(*key).orderBy(way("clock"), way("ordinal")))
+        ends.append(rows.na.drop(subset=[*key, "clock"]).withColumn("rank", place).filter(F.col("rank") <= most).withColumn("edge", F.lit(edge)))
+    return ends[0].unionByName(ends[1])
+
+
 def beyond(rows: DataFrame, key: Sequence[str], value: str, most: int, later: bool, name: str) -> DataFrame:
     """(key, clock, name): for every clock of a series, the values of the ``most`` nearest rows after (or before) it.
 
@@ -187,3 +196,14 @@ def reset_magnitudes(transformed: DataFrame) -> DataFrame:
     }
     pairs = F.array(*[F.struct(F.lit(k).alias("measure"), v.alias("v")) for k, v in measures.items()])
     return distribution(falls.select(F.explode(pairs).alias("p")).select("p.measure", "p.v"), ["measure"], "v")
+
+
+def reset_details(transformed: DataFrame) -> DataFrame:
+    """Every decrease of a counter with its size and the faults of its record."""
+    falls = transformed.filter("semantic_type = 'counter'").withColumn("direction", _direction()).filter("direction = 'decrease'")
+    right_delta = F.coalesce(close_to(F.col("delta_value"), F.col("raw_value") - F.col("previous_raw_value")), F.lit(False))
+    return falls.select(
+        "itemid", "hostid", "ifindex", "canonical_metric", "device_role", "clock", "ordinal", "previous_raw_value", "raw_value",
+        (F.col("previous_raw_value") - F.col("raw_value")).alias("magnitude"), "delta_time_sec",
+        (~F.coalesce("counter_reset", F.lit(False))).alias("unmarked"), (~right_delta).alias("wrong_delta"), F.col("value").isNotNull().alias("has_rate"),
+    )

@@ -60,6 +60,14 @@ _register(
     "D12_class_counts", lambda spark, sf: behaviour.class_counts(behaviour.behaviour_classes(bindings.history(spark, sf))),
     with_(HISTORY, STEPS) + "SELECT classification, count(*) AS items FROM classes GROUP BY 1",
 )
+_register(
+    "D13_edge_samples", lambda spark, sf: behaviour.edge_samples(bindings.repeated_history(spark, sf)).select("itemid", "edge", "rank", "clock", "ordinal", "value"),
+    " UNION ALL ".join(
+        f"""SELECT * FROM (SELECT CAST(l_suppkey AS VARCHAR) AS itemid, '{edge}' AS edge, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_shipdate {way}, l_orderkey * 8 + l_linenumber {way}) AS "rank",
+  CAST(floor(epoch(l_shipdate)) AS BIGINT) AS clock, l_orderkey * 8 + l_linenumber AS ordinal, l_extendedprice AS value FROM lineitem QUALIFY "rank" <= 10)"""
+        for edge, way in (("first", "ASC"), ("last", "DESC"))
+    ),
+)
 _register(
     "D14_latest", lambda spark, sf: behaviour.latest(bindings.repeated_history(spark, sf)).select("itemid", "clock", "ordinal", "value", "rank"),
     """SELECT CAST(l_suppkey AS VARCHAR) AS itemid, CAST(floor(epoch(l_shipdate)) AS BIGINT) AS clock, l_orderkey * 8 + l_linenumber AS ordinal,
@@ -105,9 +113,7 @@ def decrease_behaviour(spark, sf):
     )
 
 
-_register(
-    "G24_decrease_behaviour", lambda spark, sf: rounded(decrease_behaviour(spark, sf)),
-    with_(*TRANSFORMED, "counted AS (SELECT * FROM transformed WHERE transformation = 'delta_rate')", decreases("counted", "itemid", "keep_first"), """after AS (
+JUDGED = """after AS (
   SELECT f.itemid, f.clock, h.raw_value AS v, row_number() OVER (PARTITION BY f.itemid, f.clock ORDER BY h.clock, h.ordinal) AS k
   FROM falls f JOIN counted h ON h.itemid = f.itemid AND h.clock > f.clock QUALIFY k <= 10),
  post AS (
@@ -121,10 +127,14 @@ _register(
   SELECT f.itemid, f.clock, CASE WHEN previous_raw_value > 0 THEN decrease / previous_raw_value END AS ratio,
     raw_value <= 20 OR (previous_raw_value > 0 AND raw_value <= previous_raw_value * 0.1) AS low, coalesce(up, 0) AS post_rises,
     coalesce(down, 0) AS post_falls, coalesce(post.n, 0) AS post_samples, coalesce(prior.n, 0) AS before_samples, prior.v AS first_before
-  FROM falls f LEFT JOIN post USING (itemid, clock) LEFT JOIN prior USING (itemid, clock))""") + f"""
+  FROM falls f LEFT JOIN post USING (itemid, clock) LEFT JOIN prior USING (itemid, clock))"""
+BEHAVIOUR = """CASE WHEN low AND post_samples >= 5 AND post_rises >= 4 AND post_falls = 0 AND (ratio IS NULL OR ratio >= 0.5) THEN 'likely_true_counter_reset'
+    WHEN ratio < 0.5 THEN 'minor_counter_decrease' WHEN low AND post_samples >= 5 AND post_rises > 0 THEN 'possible_counter_reset'
+    ELSE 'counter_behavior_uncertain' END AS classification"""
+_register(
+    "G24_decrease_behaviour", lambda spark, sf: rounded(decrease_behaviour(spark, sf)),
+    with_(*TRANSFORMED, "counted AS (SELECT * FROM transformed WHERE transformation = 'delta_rate')", decreases("counted", "itemid", "keep_first"), JUDGED) + f"""
 SELECT itemid, clock, {r3('ratio', 'ratio')}, low, post_rises, post_falls, post_samples, before_samples, {r3('first_before', 'first_before')},
   post_samples >= 5 AND post_rises >= 4 AND post_falls = 0 AS post_monotonic,
-  CASE WHEN low AND post_samples >= 5 AND post_rises >= 4 AND post_falls = 0 AND (ratio IS NULL OR ratio >= 0.5) THEN 'likely_true_counter_reset'
-    WHEN ratio < 0.5 THEN 'minor_counter_decrease' WHEN low AND post_samples >= 5 AND post_rises > 0 THEN 'possible_counter_reset'
-    ELSE 'counter_behavior_uncertain' END AS classification FROM judged""",
+  {BEHAVIOUR} FROM judged""",
 )
