@@ -13,7 +13,8 @@ counted is taken to have occurred once.
 Word counts and training cover every document. In each round every partition trains a copy of the network, from the
 common weights, on a share of masked positions that differs by round, and the copies are averaged by the positions they
 saw; together the rounds mask every position once. The weights have a fixed size; the averages are formed chunk by chunk in a shuffle, so what is gathered grows with
-the number of partitions and no task holds more than a few chunks.
+the number of partitions and no task holds more than a few chunks. So scores depend a little on how rows are dealt to
+partitions, as averaged copies do.
 
 Defined results: null, empty and wordless texts have no token, log-likelihood 0 and a null mean; a single token is
 predicted from the text's ends alone; repeated rows count as often as they occur. On an empty table nothing is trained
@@ -344,7 +345,8 @@ def _rare_words(shared):
 
 
 def rare_shares(docs: DataFrame, model: Model, text: str) -> DataFrame:
-    """(key, share): by hash of the text, the sum of log counts over its rare words. No text is shuffled.
+    """(key, share): by hash of the text, the sum of log counts over its rare words. No text is shuffled here; ``score`` joins the result to its rows,
+    so a caller with wide rows selects what it needs first.
 
     Words that occurred once add nothing and are left out of the join.
     """
