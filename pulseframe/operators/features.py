@@ -6,8 +6,9 @@ Shape of the job, whatever the data volume:
    aggregation, so a hot interface costs as many rows as it has grid steps;
 2. cells are placed into time slices (plus a copy into the next slice when a window reaches across)
    and shuffled once by (entity, slice);
-3. inside that partitioning every cell is handed to the grid points whose windows contain it, merged
-   per window and pivoted: no further exchange.
+3. inside that partitioning every cell is handed to the grid points whose windows contain it and merged
+   per window; a grid point gathers the windows that hold something in one map and columns are read from
+   it: no further exchange.
 """
 
 from __future__ import annotations
@@ -32,6 +33,7 @@ from pulseframe.functions.scalars import (
     safe_long,
 )
 from pulseframe.operators.timeline import DAY_SEC
+from pulseframe.plans import staging
 from pulseframe.vocab import (
     DEFAULT_BUCKET_SEC,
     DEFAULT_WINDOWS_SEC,
@@ -307,7 +309,7 @@ def metric_cells(
     cells = samples.groupBy(
         *key, F.col("canonical_metric").alias("metric"), ceil_bucket(F.col("clock"), step).alias("t")
     ).agg(
-        F.count(F.lit(1)).alias("rows"),
+        F.max("clock").alias("seen"),
         F.count(value).alias("n"),
         F.sum(value).alias("sum"),
         F.var_pop(value).alias("var"),
@@ -328,7 +330,7 @@ def metric_cells(
     )
     fields = _transition_fields(F.col("ts"), falls_only)
     return cells.select(
-        *key, "metric", "t", "rows", "n", "sum", "var", "min", "max", "last", "resets",
+        *key, "metric", "t", "seen", "n", "sum", "var", "min", "max", "last", "resets",
         "reset_size", *[c.alias(n) for n, c in fields.items()],
     )
 
@@ -341,7 +343,7 @@ def _slices(t: Column, grid: Grid) -> Column:
     )
 
 
-# Codes of the pivot: one per (metric, window, role) and one per marker column.
+# Codes of the windows: one per (metric, window, role) and one per marker column.
 RECENT, BASELINE = "recent", "baseline"
 
 
@@ -354,6 +356,10 @@ def _codes(metrics: Sequence[str], grid: Grid) -> dict[tuple[str, int, str], int
     return {combo: code for code, combo in enumerate(combos)}
 
 
+# Rows of spans that one task merges; what a task holds does not grow with the input.
+SPANS_PER_TASK = 1 << 18
+
+
 def _window_rows(
     samples: DataFrame,
     key: Sequence[str],
@@ -366,24 +372,30 @@ def _window_rows(
 ) -> DataFrame:
     """Grid rows of every entity with merged window statistics, before derivation.
 
-    ``attributes`` has one row per entity and is attached to every row.  ``markers`` are extra
-    per-entity grid rows (``t`` plus value columns) that also count as observations.
+    A row has one struct ``s<code>`` per code, null where the window holds no cell.  Cells are written first:
+    their number says over how many tasks the far more numerous spans go.  ``attributes`` has one row per
+    entity and is attached to every row.  ``markers`` are extra per-entity grid rows (``t`` plus value columns)
+    that also count as observations.
     """
     step = grid.step
-    cells = metric_cells(samples, key, step, transition, falls_only)
+    cells = staging.materialise(metric_cells(samples, key, step, transition, falls_only), "cells")
     extra = [c for c in markers.columns if c not in (*key, "t")] if markers is not None else []
-    seen_at = samples.select(*key, "clock")
+    seen_at = cells.select(*key, "seen", _slices(F.col("t"), grid).alias("_slices"))
+    roles = _roles(grid)
+    size = cells.count() * sum(-(-window // grid.bucket_sec) for window, _ in roles)
     if markers is not None:
-        seen_at = seen_at.unionByName(markers.select(*key, F.col("t").alias("clock")))
-
-    # The grid of an entity ends at its last observation; known per slice after one small roll-up.
-    ends = (
-        seen_at.select(*key, "clock", F.explode(
-            _slices(ceil_bucket(F.col("clock"), step), grid)).alias("_slice"))
-        .groupBy(*key, "_slice")
-        .agg(F.max("clock").alias("_last"))
-        .withColumn("_end", F.max("_last").over(Window.partitionBy(*key)))
-        .drop("_last")
+        markers = staging.materialise(markers, "markers")
+        size += markers.count() * len(extra)
+        seen_at = seen_at.unionByName(markers.select(
+            *key, F.col("t").alias("seen"), _slices(ceil_bucket(F.col("t"), step), grid).alias("_slices")
+        ))
+    tasks = max(1, -(-size // SPANS_PER_TASK))
+
+    # The grid of an entity ends at its last observation.
+    ends = seen_at.groupBy(*key).agg(F.max("seen").alias("_end"))
+    described = (
+        seen_at.select(*key, F.explode("_slices").alias("_slice")).distinct()
+        .join(attributes, list(key)).repartition(tasks, *key, "_slice")
     )
     series = Window.partitionBy(*key, "_slice", "metric")
     # A cell whose samples are all null has no state; the change is against the last cell that has one.
@@ -392,9 +404,9 @@ def _window_rows(
     )
     crossed = F.col("t_first") < former if falls_only else F.col("t_first") != former
     placed = (
-        cells.withColumn("_slice", F.explode(_slices(F.col("t"), grid)))
-        .repartition(*key, "_slice")
-        .join(ends, [*key, "_slice"])
+        cells.join(ends, list(key))
+        .withColumn("_slice", F.explode(_slices(F.col("t"), grid)))
+        .repartition(tasks, *key, "_slice")
         .withColumn("mean", F.col("sum") / F.nullif(F.col("n"), F.lit(0)))
         .select(
             "*",
@@ -405,7 +417,6 @@ def _window_rows(
     )
 
     metric_number = F.array_position(F.array(*[F.lit(m) for m in metrics]), F.col("metric")) - 1
-    roles = _roles(grid)
     cover = []
     for number, (window, role) in enumerate(roles):
         first = F.col("t") if role == RECENT else F.col("t") + window
@@ -420,7 +431,7 @@ def _window_rows(
         .select(
             *key, "_slice", F.col("t").alias("cell"),
             (metric_number * len(roles) + F.col("_span.role")).cast("int").alias("code"),
-            "rows", "n", "sum", "var", "min", "max", "last", "resets", "reset_size", "mean", "off",
+            "n", "sum", "var", "min", "max", "last", "resets", "reset_size", "mean", "off",
             "t_inner", "t_join",
             F.explode(
                 F.sequence("_span.low", "_span.high", F.lit(grid.bucket_sec).cast("bigint"))
@@ -443,14 +454,13 @@ def _window_rows(
                 )
             ).alias("_m"),
         ).select(*key, "_slice", "t", "_m.code", "_m.last", F.col("t").alias("cell"))
-        spans = spans.unionByName(
-            marker_rows.repartition(*key, "_slice"), allowMissingColumns=True
+        spans = spans.unionByName(marker_rows, allowMissingColumns=True).repartition(
+            tasks, *key, "_slice"
         )
         codes += [len(codes) + i for i in range(len(extra))]
 
     filled = F.col("n") > 0
-    wide = spans.groupBy(*key, "_slice", "t").pivot("code", codes).agg(
-        F.sum("rows").alias("rows"),
+    merged = spans.groupBy(*key, "_slice", "t", "code").agg(
         F.sum("n").alias("n"),
         F.sum("sum").alias("sum"),
         F.min("min").alias("min"),
@@ -467,33 +477,46 @@ def _window_rows(
         F.sum(F.col("t_inner") + F.col("t_join")).alias("turns"),
         F.min_by("t_join", F.when(F.col("t_inner").isNotNull(), F.col("cell"))).alias("entry"),
     )
-    described = ends.drop("_end").join(attributes, list(key))
-    result = wide.join(described, [*key, "_slice"]).select(
-        "*", *[F.col(f"{len(metrics) * len(roles) + i}_last").alias(c) for i, c in enumerate(extra)]
+    zero = F.lit(0)
+    statistics = F.struct(
+        "last", (F.col("sum") / F.nullif(F.col("n"), zero)).alias("mean"), _spread().alias("std"),
+        "min", "max", F.coalesce("n", zero).alias("n"), "resets", "reset_size",
+        (F.coalesce("turns", zero) - F.coalesce("entry", zero)).alias("changes"),
+    )
+    # Few windows of a grid point hold anything: a map of those is far smaller than a column for each.
+    found = (
+        merged.select(*key, "_slice", "t", F.struct("code", statistics.alias("s")).alias("_entry"))
+        .groupBy(*key, "_slice", "t")
+        .agg(F.map_from_entries(F.collect_list("_entry")).alias("_found"))
     )
-    longest = [F.col(f"{code}_rows") for (m, w, role), code in _codes(metrics, grid).items()
+    longest = [F.lit(code) for (m, w, role), code in _codes(metrics, grid).items()
                if w == grid.longest and role == RECENT]
-    alive = reduce(lambda x, y: x | y, [c.isNotNull() for c in longest])
+    alive = F.arrays_overlap(F.map_keys("_found"), F.array(*longest))
     if extra:
-        alive = alive | F.col(extra[0]).isNotNull()
-    return result.filter(alive)
+        alive = alive | F.col("_found")[len(metrics) * len(roles)]["last"].isNotNull()
+    return (
+        found.filter(alive)
+        .join(described.hint("shuffle_hash"), [*key, "_slice"])
+        .select(
+            *key, "_slice", "t", *[c for c in attributes.columns if c not in key],
+            *[F.col("_found")[code].alias(f"s{code}") for code in codes],
+        )
+        .withColumns({c: F.col(f"s{len(metrics) * len(roles) + i}.last") for i, c in enumerate(extra)})
+    )
 
 
-def _spread(code: int) -> Column:
+def _spread() -> Column:
     """Population standard deviation of a window from its merged cells.
 
     Cells of equal size need only the variance of their means; unequal cells use squares around a
     nearby level.  A constant window is exactly zero.
     """
-    def field(name: str) -> Column:
-        return F.col(f"{code}_{name}")
-
-    n = field("n")
-    uneven = F.greatest(field("off2") - field("off1") * field("off1") / n, F.lit(0.0))
-    between = F.when(field("least") == field("most"), n * field("between")).otherwise(uneven)
+    n = F.col("n")
+    uneven = F.greatest(F.col("off2") - F.col("off1") * F.col("off1") / n, F.lit(0.0))
+    between = F.when(F.col("least") == F.col("most"), n * F.col("between")).otherwise(uneven)
     return F.when(
         n > 0,
-        F.when(field("min") == field("max"), 0.0).otherwise(F.sqrt((field("inside") + between) / n)),
+        F.when(F.col("min") == F.col("max"), 0.0).otherwise(F.sqrt((F.col("inside") + between) / n)),
     )
 
 
@@ -509,35 +532,29 @@ def _statistics(rows: DataFrame, keep: Sequence[str], metrics: Sequence[str], gr
             r, b = codes[m, window, RECENT], codes[m, window, BASELINE]
             name, base = f"{m}_{s}", f"{m}_baseline"
 
-            def mean(code: int) -> Column:
-                return F.col(f"{code}_sum") / F.nullif(F.col(f"{code}_n"), zero)
-
             out += [
-                F.col(f"{r}_last").alias(f"{name}_last"),
-                mean(r).alias(f"{name}_mean"),
-                _spread(r).alias(f"{name}_std"),
-                F.col(f"{r}_min").alias(f"{name}_min"),
-                F.col(f"{r}_max").alias(f"{name}_max"),
-                F.coalesce(f"{r}_n", zero).alias(f"{name}_count"),
-                (F.col(f"{r}_max") - F.col(f"{r}_min")).alias(f"{name}_range"),
-                mean(b).alias(f"{base}_mean_{s}"),
-                _spread(b).alias(f"{base}_std_{s}"),
-                F.coalesce(f"{b}_n", zero).alias(f"{base}_count_{s}"),
+                F.col(f"s{r}.last").alias(f"{name}_last"),
+                F.col(f"s{r}.mean").alias(f"{name}_mean"),
+                F.col(f"s{r}.std").alias(f"{name}_std"),
+                F.col(f"s{r}.min").alias(f"{name}_min"),
+                F.col(f"s{r}.max").alias(f"{name}_max"),
+                F.coalesce(f"s{r}.n", zero).alias(f"{name}_count"),
+                (F.col(f"s{r}.max") - F.col(f"s{r}.min")).alias(f"{name}_range"),
+                F.col(f"s{b}.mean").alias(f"{base}_mean_{s}"),
+                F.col(f"s{b}.std").alias(f"{base}_std_{s}"),
+                F.coalesce(f"s{b}.n", zero).alias(f"{base}_count_{s}"),
             ]
         for label, role in (("", RECENT), ("baseline_", BASELINE)):
-            present = [F.col(f"{codes[m, window, role]}_rows").isNotNull().cast("int")
-                       for m in metrics]
+            present = [F.col(f"s{codes[m, window, role]}").isNotNull().cast("int") for m in metrics]
             out.append(
                 reduce(lambda a, b: a + b, present).alias(f"{label}metric_presence_count_{s}")
             )
         discards = [codes[m, window, RECENT] for m in DISCARD_METRICS if m in metrics]
         for field, empty in (("resets", zero), ("reset_size", F.lit(0.0))):
-            parts = [F.coalesce(f"{c}_{field}", empty) for c in discards] or [empty]
+            parts = [F.coalesce(f"s{c}.{field}", empty) for c in discards] or [empty]
             out.append(reduce(lambda a, b: a + b, parts).alias(f"{field}_{s}"))
         t = codes[transition, window, RECENT]
-        out.append(
-            (F.coalesce(f"{t}_turns", zero) - F.coalesce(f"{t}_entry", zero)).alias(f"changes_{s}")
-        )
+        out.append(F.coalesce(f"s{t}.changes", zero).alias(f"changes_{s}"))
     return rows.select(*keep, *out)
 
 
