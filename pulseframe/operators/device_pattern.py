@@ -12,10 +12,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulseframe.functions.scalars import finite
+from pulseframe.functions.scalars import finite, floor_bucket
 from pulseframe.operators.behaviour import beyond
 from pulseframe.operators.correlate import HOST, INTERFACE
-from pulseframe.operators.timeline import attach_clock_context, near, running_count, with_neighbours
+from pulseframe.operators.timeline import HOUR_SEC, attach_clock_context, near, running_count, with_neighbours
 from pulseframe.vocab import DISCARD_METRICS
 
 # Reach in seconds, samples of context, interfaces that make a device, related metrics by kind.
@@ -42,18 +42,22 @@ def nearest_samples(events: DataFrame, records: DataFrame, reach: int = REACH_SE
     """(hostid, ifindex, clock, canonical_metric) with the sample nearest to the event, the earlier one of two at equal distance.
 
     The last sample up to the event and the first one after it, each within ``reach``, come from two frames; all
-    metrics are found in one pass. Of several samples at a clock the first in file order counts.
+    metrics are found in one pass. Of several samples at a clock the first in file order counts. An event is placed on the
+    line of a metric only where that metric has a sample in a slice of time that the event can reach.
     """
-    wanted = _marks(events, INTERFACE).withColumn("canonical_metric", F.explode(F.array(*[F.lit(m) for m in metrics])))
     sample = F.min_by(F.struct(F.col("itemid").alias("sample_itemid"), "value", "raw_value"), "ordinal")
     points = _of_interfaces(records, metrics).groupBy(*SERIES, "clock").agg(sample.alias("sample"))
+    clock, width = F.col("clock"), max(HOUR_SEC, 2 * reach)
+    sides = F.array_distinct(F.array(floor_bucket(clock - reach, width), floor_bucket(clock + reach, width)))
+    within = points.select(*SERIES, F.explode(sides).alias("_slice")).distinct()
+    wanted = _marks(events, INTERFACE).withColumn("_slice", floor_bucket(clock, width)).join(within, [*INTERFACE, "_slice"]).select(*SERIES, "clock")
     placed = F.when(F.col("sample").isNotNull(), F.struct("clock", "sample"))
 
     def measures(frame) -> list[Column]:
         return [F.max(placed).over(frame(-reach, 0)).alias("before"), F.min(placed).over(frame(1, reach)).alias("after")]
 
     found = near(wanted, points, SERIES, reach, reach, measures)
-    clock, before, after = F.col("clock"), F.col("before"), F.col("after")
+    before, after = F.col("before"), F.col("after")
     earlier = before.isNotNull() & (after.isNull() | (clock - before["clock"] <= after["clock"] - clock))
     return found.withColumn("nearest", F.when(earlier, before).otherwise(after)).filter("nearest is not null").select(
         *SERIES, "clock", F.col("nearest.clock").alias("sample_clock"), "nearest.sample.*"
