@@ -189,10 +189,13 @@ def cross_metric(events: DataFrame, records: DataFrame, window: int = CROSS_WIND
 
 
 def bracketed(events: DataFrame, raw: DataFrame, metrics: Sequence[str] = OTHER_COUNTERS) -> DataFrame:
-    """(hostid, ifindex, clock, metric) with the sample at or before an event and the first after it; both must exist."""
+    """(hostid, ifindex, clock, metric) with the sample at or before an event and the first after it; both must exist.
+
+    An event is looked up in those metrics only that its interface has.
+    """
     marks = events.select(*INTERFACE, "clock").na.drop().distinct()
-    wanted = marks.withColumn("canonical_metric", F.explode(F.array(*[F.lit(m) for m in metrics])))
     samples = raw.filter(F.col("canonical_metric").isin(*metrics) & F.col("value").isNotNull()).na.drop(subset=[*INTERFACE, "clock"])
+    wanted = marks.join(samples.select(*SERIES).distinct(), INTERFACE)
     found = as_of(wanted, per_clock(samples, SERIES, "value"), SERIES, ["first_value", "last_value"])
     return found.filter("before is not null and after is not null").select(
         *SERIES, "clock", F.col("before.last_value").alias("previous_value"), F.col("after.first_value").alias("current_value"),
