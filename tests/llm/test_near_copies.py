@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -53,6 +54,42 @@ def test_clusters_of_nothing(spark):
     assert near_copies.clusters(near_copies.scanned(docs.select("text", "doc_id"), "doc_id bigint")).count() == 0
 
 
+def scanned_rows(bands, seed=11):
+    """For each band (a list of sets), one text a set with that band alone; bitmaps are those of the sets."""
+    rng, rows = np.random.default_rng(seed), []
+    for band, sets in enumerate(bands):
+        for elements in sets:
+            rows.append((int(rng.integers(-(2**62), 2**62)), len(elements), [band], near_copies.parity(elements).tolist()))
+    return rows
+
+
+def sets_of(rng, size=100):
+    """A set, and one that shares all but two of its elements."""
+    one = np.unique(rng.integers(1, 2**63, size, dtype=np.uint64))
+    return one, np.unique(np.concatenate((one[2:], rng.integers(1, 2**63, 2, dtype=np.uint64))))
+
+
+FOUND = "same long, n long, bands array<long>, parity array<long>"
+
+
+def test_texts_link_without_the_representative_of_their_band(spark):
+    rng = np.random.default_rng(3)
+    bands = [[*sets_of(rng), sets_of(rng)[0]] for _ in range(20)]
+    rows = scanned_rows(bands)
+    got = {r.same: r.component for r in near_copies.clusters(spark.createDataFrame(rows, FOUND)).collect()}
+    for a, b, c in zip(rows[::3], rows[1::3], rows[2::3], strict=True):
+        assert got[a[0]] == got[b[0]] == min(a[0], b[0]) and c[0] not in got
+
+
+def test_a_band_of_many_texts_is_compared_whole(spark, monkeypatch):
+    monkeypatch.setattr(near_copies, "BLOCK", 8)
+    rng = np.random.default_rng(4)
+    rows = scanned_rows([[x for _ in range(30) for x in sets_of(rng)], [x for _ in range(3) for x in sets_of(rng)]])
+    got = {r.same: r.component for r in near_copies.clusters(spark.createDataFrame(rows, FOUND)).collect()}
+    assert len(got) == 66
+    assert all(got[a[0]] == got[b[0]] == min(a[0], b[0]) for a, b in zip(rows[::2], rows[1::2], strict=True))
+
+
 @pytest.mark.parametrize("capacity, tokens", [(1, 40_000), (7, 20)])
 def test_packs_do_not_share_bins(spark, capacity, tokens):
     rows = spark.range(64).select(
