@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulseframe.operators import audits, counters, quantiles
-from pulseframe.plans import bindings
+from pulseframe.plans import bindings, staging
 from pulseframe.plans.feature_oracle import r3
 from pulseframe.plans.oracles import DUPS, HISTORY, ITEMS, TRANSFORMED, decreases, with_
 from pulseframe.plans.queries import rounded, transformed
@@ -218,7 +218,9 @@ def _(spark, sf):
 
 
 def issues(spark, sf):
-    return audits.all_issues(damaged_raw(spark, sf), damaged(spark, sf), require_null_delta=True)
+    """The issue log; the audited rows are written once, as every check reads them."""
+    rows = staging.materialise(damaged(spark, sf), "damaged")
+    return audits.all_issues(damaged_raw(spark, sf), rows, require_null_delta=True)
 
 
 @query("F10_issue_totals", ALL_ISSUES + f"SELECT issue, {_SEVERITY} AS severity, count(*) AS issues FROM issues GROUP BY 1")
@@ -230,7 +232,8 @@ def _(spark, sf):
 SELECT *, {_SEVERITY} AS severity, row_number() OVER (PARTITION BY issue ORDER BY ordinal, itemid, clock) AS "rank"
 FROM issues""")
 def _(spark, sf):
-    return audits.issue_details(issues(spark, sf))
+    # ranks and the totals they start from read one written log
+    return audits.issue_details(staging.materialise(issues(spark, sf), "issues"))
 
 
 @query("F9_type_counts", with_(*_BASE) + " UNION ALL ".join(
