@@ -17,8 +17,12 @@ _ATTRIBUTES = ("hostid", "ifindex", "device_role", "canonical_metric")
 
 
 def falls(spark, sf):
+    return falls_of(transformed(spark, sf))
+
+
+def falls_of(records):
     """Decreases of discard counters, written once: every part of a report reads them again."""
-    rows = transformed(spark, sf).filter((F.col("transformation") == "delta_rate") & F.col("canonical_metric").isin(*DISCARD_METRICS))
+    rows = records.filter((F.col("transformation") == "delta_rate") & F.col("canonical_metric").isin(*DISCARD_METRICS))
     found = counters.detect_decreases(rows, ["itemid"], "raw_value", "take_last", _ATTRIBUTES)
     return staging.materialise(found, "discard-falls")
 

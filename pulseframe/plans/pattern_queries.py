@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from pulseframe.operators import device_pattern, event_context
 from pulseframe.plans import bindings, staging
-from pulseframe.plans.cluster_queries import EVENTS, falls
+from pulseframe.plans.cluster_queries import EVENTS, falls, falls_of
 from pulseframe.plans.queries import rounded, transformed
 from pulseframe.vocab import DISCARD_METRICS
 
@@ -95,7 +95,8 @@ def pattern_ctes(reach: int, own: bool) -> str:
 
 
 def pattern(spark, sf, reach=device_pattern.REACH_SEC, own=True):
-    return device_pattern.device_pattern(falls(spark, sf), records(spark, sf), reach, own)
+    rows = records(spark, sf)
+    return device_pattern.device_pattern(falls_of(rows), rows, reach, own)
 
 
 _PARTS = ("instant_records", "instant_interfaces", "nearby_records", "discard_resets", "other_resets", "affected", "related", "status_changes")
@@ -136,9 +137,12 @@ _HEALTH = """health AS (SELECT * REPLACE (CASE split_part(itemid, '-', 2) WHEN '
 
 
 def around(spark, sf):
+    return around_of(records(spark, sf))
+
+
+def around_of(rows):
     """Interface records and the same read as host health, whose values are missing in every third row."""
     columns = ("hostid", "ifindex", "clock", "ordinal", "canonical_metric", "value", "raw_value")
-    rows = records(spark, sf)
     health = bindings.as_device_health(rows).withColumn("value", F.when(F.col("ordinal") % 3 > 0, F.col("value")))
     return rows.select(*columns).unionByName(health.select(*columns))
 
