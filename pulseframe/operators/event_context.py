@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pulseframe.functions.scalars import finite, floor_bucket
 from pulseframe.operators.correlate import HOST, INTERFACE
-from pulseframe.operators.timeline import near, with_neighbours
+from pulseframe.operators.timeline import count_inside, near, with_neighbours
 
 # Reach of the window and the metrics that are related to a counter decrease.
 WINDOW_SEC = 300
@@ -57,22 +57,17 @@ def _points(records: DataFrame, key: Sequence[str], metric: str, value: Column)
 
 
 def _inside(events: DataFrame, points: DataFrame, key: list[str], window: int, across: Column, within: Column, name: str) -> DataFrame:
-    """Moves between successive samples that both lie in the window.
-
-    A move from one clock to the next stands at the later clock. Of those in the window only the first can have its earlier
-    sample before the left edge, and the first clock of a window always has; so it is taken off the sum. Samples of one clock are
-    ordered by value.
-    """
-    moves = with_neighbours(points, key, ["clock", "high"]).select(
-        *key, "clock", F.coalesce(across, F.lit(False)).cast("bigint").alias("across"), within.cast("bigint").alias("within")
+    """Moves between successive samples that both lie in the window; samples of one clock are ordered by value."""
+    chained = with_neighbours(points, key, ["clock", "high"])
+    since, n = F.col("previous.clock"), F.coalesce(across, F.lit(False)).cast("bigint")
+    moves = chained.select(
+        *key,
+        F.inline(F.array(
+            F.struct(since.alias("since"), "clock", n.alias(name)),
+            F.struct(F.col("clock").alias("since"), "clock", within.cast("bigint").alias(name)),
+        )),
     )
-
-    def measures(frame) -> list[Column]:
-        around = frame(-window, window)
-        total = F.sum("across").over(around) + F.sum("within").over(around) - F.first("across", ignorenulls=True).over(around)
-        return [F.coalesce(total, F.lit(0)).alias(name)]
-
-    return near(events.na.drop(subset=[*key, "clock"]), moves, key, window, window, measures)
+    return count_inside(events.na.drop(subset=[*key, "clock"]), moves, key, window, window, name)
 
 
 def transitions(events: DataFrame, records: DataFrame, window: int = WINDOW_SEC) -> DataFrame:

@@ -198,3 +198,47 @@ def running_count(
         *key, "clock",
         (F.coalesce("_inner", F.lit(0)) + F.coalesce("_earlier", F.lit(0))).alias(measure),
     )
+
+
+def count_inside(
+    events: DataFrame, moves: DataFrame, key: Sequence[str], before: int, after: int, measure: str
+) -> DataFrame:
+    """Total of ``measure`` over the moves that lie wholly within ``before`` and ``after`` of each event clock.
+
+    ``moves`` (key, since, clock, measure) follow one another along a key: none begins before the one ahead of it
+    ends.  So those inside are the ones that ended up to the right edge less those that began before the left one:
+    two running totals, whose cost does not depend on how much a window holds.
+    """
+    clock, n = F.col("clock"), F.col(measure)
+    edges = events.select(*key, "clock").distinct().select(
+        *key, clock.alias("_mark"),
+        F.inline(F.array(
+            F.struct((clock + after).alias("clock"), F.lit(1).alias("_sign")),
+            F.struct((clock - before - 1).alias("clock"), F.lit(-1).alias("_sign")),
+        )),
+    )
+    none = F.lit(0).cast("bigint")
+    steps = moves.filter(n > 0).select(
+        *key,
+        F.inline(F.array(
+            F.struct("clock", n.alias("_ended"), none.alias("_begun")),
+            F.struct(F.col("since").alias("clock"), none.alias("_ended"), n.alias("_begun")),
+        )),
+    ).groupBy(*key, "clock").agg(F.sum("_ended").alias("_ended"), F.sum("_begun").alias("_begun"))
+    line = edges.unionByName(steps, allowMissingColumns=True).withColumn("_slice", floor_bucket(clock, DAY_SEC))
+    within = Window.partitionBy(*key, "_slice").orderBy("clock").rangeBetween(Window.unboundedPreceding, 0)
+    across = Window.partitionBy(*key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    inner = line.select(
+        *key, "_slice", "_mark", "_sign", *[F.sum(c).over(within).alias(c) for c in ("_ended", "_begun")]
+    ).filter(F.col("_mark").isNotNull())
+    carry = line.groupBy(*key, "_slice").agg(F.sum("_ended").alias("e"), F.sum("_begun").alias("b")).select(
+        *key, "_slice", F.sum("e").over(across).alias("_e"), F.sum("b").over(across).alias("_b")
+    )
+    zero = F.lit(0)
+    total = F.when(F.col("_sign") > 0, F.coalesce("_ended", zero) + F.coalesce("_e", zero)).otherwise(
+        -F.coalesce("_begun", zero) - F.coalesce("_b", zero)
+    )
+    # a move that spans the whole window began before it and has not ended in it
+    return inner.join(carry, [*key, "_slice"], "left").groupBy(*key, F.col("_mark").alias("clock")).agg(
+        F.greatest(F.sum(total), none).alias(measure)
+    )
