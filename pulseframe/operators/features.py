@@ -6,9 +6,9 @@ Shape of the job, whatever the data volume:
    aggregation, so a hot interface costs as many rows as it has grid steps;
 2. cells are placed into time slices (plus a copy into the next slice when a window reaches across)
    and shuffled once by (entity, slice);
-3. inside that partitioning every cell is handed to the grid points whose windows contain it and merged
-   per window; a grid point gathers the windows that hold something in one map and columns are read from
-   it: no further exchange.
+3. inside that partitioning the content of a window is merged where it changes, when a cell enters or leaves;
+   a baseline window is the same content one window later. The last content of every window runs along the
+   changes of an entity and is read off at the grid points up to the next change: no further exchange.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from functools import reduce
 from math import gcd
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from pulseframe.functions.ifindex import parse_ifindex
@@ -356,7 +356,7 @@ def _codes(metrics: Sequence[str], grid: Grid) -> dict[tuple[str, int, str], int
     return {combo: code for code, combo in enumerate(combos)}
 
 
-# Rows of spans that one task merges; what a task holds does not grow with the input.
+# Windows that hold something, counted at every grid point, that one task fills; what a task holds does not grow with the input.
 SPANS_PER_TASK = 1 << 18
 
 
@@ -372,8 +372,8 @@ def _window_rows(
 ) -> DataFrame:
     """Grid rows of every entity with merged window statistics, before derivation.
 
-    A row has one struct ``s<code>`` per code, null where the window holds no cell.  Cells are written first:
-    their number says over how many tasks the far more numerous spans go.  ``attributes`` has one row per
+    A row has one struct ``s<code>`` per code, null or not ``live`` where the window holds no cell.  Cells are written
+    first: their number says over how many tasks the far more numerous grid rows go.  ``attributes`` has one row per
     entity and is attached to every row.  ``markers`` are extra per-entity grid rows (``t`` plus value columns)
     that also count as observations.
     """
@@ -395,7 +395,7 @@ def _window_rows(
     ends = seen_at.groupBy(*key).agg(F.max("seen").alias("_end"))
     described = (
         seen_at.select(*key, F.explode("_slices").alias("_slice")).distinct()
-        .join(attributes, list(key)).repartition(tasks, *key, "_slice")
+        .join(attributes.join(ends, list(key)), list(key)).repartition(tasks, *key, "_slice")
     )
     series = Window.partitionBy(*key, "_slice", "metric")
     # A cell whose samples are all null has no state; the change is against the last cell that has one.
@@ -404,8 +404,7 @@ def _window_rows(
     )
     crossed = F.col("t_first") < former if falls_only else F.col("t_first") != former
     placed = (
-        cells.join(ends, list(key))
-        .withColumn("_slice", F.explode(_slices(F.col("t"), grid)))
+        cells.withColumn("_slice", F.explode(_slices(F.col("t"), grid)))
         .repartition(tasks, *key, "_slice")
         .withColumn("mean", F.col("sum") / F.nullif(F.col("n"), F.lit(0)))
         .select(
@@ -416,107 +415,133 @@ def _window_rows(
         )
     )
 
+    # A window's content when a cell enters it, and when that cell leaves it, for each length.
+    merged = placed.select(
+        *key, "_slice", "metric", "t",
+        *[
+            _merged(series.orderBy("t").rangeBetween(*reach)).alias(f"{moment}{window}")
+            for window in grid.windows
+            for moment, reach in (("in", (step - window, 0)), ("out", (step, window)))
+        ],
+    )
+    contents = merged.select(
+        *key, "_slice", "metric", "t",
+        *[_content(F.col(c)).alias(c) for c in merged.columns if c not in (*key, "_slice", "metric", "t")],
+    )
     metric_number = F.array_position(F.array(*[F.lit(m) for m in metrics]), F.col("metric")) - 1
-    cover = []
-    for number, (window, role) in enumerate(roles):
-        first = F.col("t") if role == RECENT else F.col("t") + window
-        low = F.greatest(ceil_bucket(first, grid.bucket_sec), F.col("_slice"))
-        high = F.least(
-            first + window - step, F.col("_slice") + grid.slice_width - 1, F.col("_end")
-        )
-        cover.append(F.struct(F.lit(number).alias("role"), low.alias("low"), high.alias("high")))
-    spans = (
-        placed.select("*", F.explode(F.array(*cover)).alias("_span"))
-        .filter(F.col("_span.low") <= F.col("_span.high"))
-        .select(
-            *key, "_slice", F.col("t").alias("cell"),
-            (metric_number * len(roles) + F.col("_span.role")).cast("int").alias("code"),
-            "n", "sum", "var", "min", "max", "last", "resets", "reset_size", "mean", "off",
-            "t_inner", "t_join",
-            F.explode(
-                F.sequence("_span.low", "_span.high", F.lit(grid.bucket_sec).cast("bigint"))
-            ).alias("t"),
-        )
+    turns = F.array(
+        *[
+            F.struct(
+                F.lit(number).alias("role"),
+                (F.col("t") + (window if role == BASELINE else 0) + (window if moment == "out" else 0)).alias("t"),
+                F.col(f"{moment}{window}").alias("s"),
+            )
+            for number, (window, role) in enumerate(roles)
+            for moment in ("in", "out")
+        ]
+    )
+    changes = contents.select(
+        *key, "_slice", (metric_number * len(roles)).alias("_first"), F.explode(turns).alias("_turn")
+    ).select(
+        *key, "_slice", "_turn.t", (F.col("_first") + F.col("_turn.role")).cast("int").alias("code"),
+        F.col("_turn.s.live").alias("live"), "_turn.s",
     )
     codes = list(range(len(metrics) * len(roles)))
+    state = {f"s{code}": F.when(F.col("code") == code, F.col("s")) for code in codes}
     if markers is not None:
-        marker_rows = markers.select(
+        marked = markers.select(
             *key, floor_bucket(F.col("t"), grid.slice_width).alias("_slice"), "t",
-            F.explode(
-                F.array(
-                    *[
-                        F.struct(
-                            F.lit(len(codes) + i).alias("code"),
-                            F.col(c).cast("double").alias("last"),
-                        )
-                        for i, c in enumerate(extra)
-                    ]
-                )
-            ).alias("_m"),
-        ).select(*key, "_slice", "t", "_m.code", "_m.last", F.col("t").alias("cell"))
-        spans = spans.unionByName(marker_rows, allowMissingColumns=True).repartition(
-            tasks, *key, "_slice"
+            F.struct(F.lit(True).alias("live"), *[F.col(c).cast("double").alias(c) for c in extra]).alias("mark"),
+        )
+        none = F.struct(F.lit(False).alias("live"), *[F.lit(None).cast("double").alias(c) for c in extra])
+        gone = marked.withColumns({"t": F.col("t") + step, "mark": none})
+        both = marked.unionByName(gone).withColumn("live", F.col("mark.live"))
+        changes = changes.unionByName(both, allowMissingColumns=True).repartition(tasks, *key, "_slice")
+        state["mark"] = F.col("mark")
+
+    # Where two changes fall together they show the same content, but a marker may follow the end of another.
+    along = Window.partitionBy(*key, "_slice").orderBy("t", "live")
+    so_far = along.rowsBetween(Window.unboundedPreceding, 0)
+    wide = (
+        changes.filter(F.col("t") < F.col("_slice") + grid.slice_width)
+        .select(
+            *key, "_slice", F.col("t").alias("_from"), F.lead("t").over(along).alias("_next"),
+            *[F.last(change, ignorenulls=True).over(so_far).alias(name) for name, change in state.items()],
         )
-        codes += [len(codes) + i for i in range(len(extra))]
-
-    filled = F.col("n") > 0
-    merged = spans.groupBy(*key, "_slice", "t", "code").agg(
-        F.sum("n").alias("n"),
-        F.sum("sum").alias("sum"),
-        F.min("min").alias("min"),
-        F.max("max").alias("max"),
-        F.max_by("last", F.when(F.col("last").isNotNull(), F.col("cell"))).alias("last"),
-        F.sum(F.col("var") * F.col("n")).alias("inside"),
-        F.var_pop("mean").alias("between"),
-        F.min(F.when(filled, F.col("n"))).alias("least"),
-        F.max(F.when(filled, F.col("n"))).alias("most"),
-        F.sum(F.col("n") * F.col("off")).alias("off1"),
-        F.sum(F.col("n") * F.col("off") * F.col("off")).alias("off2"),
-        F.sum("resets").alias("resets"),
-        F.sum("reset_size").alias("reset_size"),
-        F.sum(F.col("t_inner") + F.col("t_join")).alias("turns"),
-        F.min_by("t_join", F.when(F.col("t_inner").isNotNull(), F.col("cell"))).alias("entry"),
     )
-    zero = F.lit(0)
-    statistics = F.struct(
-        "last", (F.col("sum") / F.nullif(F.col("n"), zero)).alias("mean"), _spread().alias("std"),
-        "min", "max", F.coalesce("n", zero).alias("n"), "resets", "reset_size",
-        (F.coalesce("turns", zero) - F.coalesce("entry", zero)).alias("changes"),
-    )
-    # Few windows of a grid point hold anything: a map of those is far smaller than a column for each.
-    found = (
-        merged.select(*key, "_slice", "t", F.struct("code", statistics.alias("s")).alias("_entry"))
-        .groupBy(*key, "_slice", "t")
-        .agg(F.map_from_entries(F.collect_list("_entry")).alias("_found"))
-    )
-    longest = [F.lit(code) for (m, w, role), code in _codes(metrics, grid).items()
-               if w == grid.longest and role == RECENT]
-    alive = F.arrays_overlap(F.map_keys("_found"), F.array(*longest))
-    if extra:
-        alive = alive | F.col("_found")[len(metrics) * len(roles)]["last"].isNotNull()
+    alive = [f"s{code}" for (m, w, role), code in _codes(metrics, grid).items() if w == grid.longest and role == RECENT]
+    alive += ["mark"] if markers is not None else []
+    low = F.greatest(ceil_bucket(F.col("_from"), grid.bucket_sec), F.col("_slice"))
+    high = F.least(F.col("_next") - 1, F.col("_slice") + grid.slice_width - 1, F.col("_end"))
     return (
-        found.filter(alive)
+        wide.filter(reduce(lambda a, b: a | b, [F.coalesce(F.col(f"{c}.live"), F.lit(False)) for c in alive]))
         .join(described.hint("shuffle_hash"), [*key, "_slice"])
+        .filter(low <= high)
         .select(
-            *key, "_slice", "t", *[c for c in attributes.columns if c not in key],
-            *[F.col("_found")[code].alias(f"s{code}") for code in codes],
+            *key, "_slice", F.explode(F.sequence(low, high, F.lit(grid.bucket_sec).cast("bigint"))).alias("t"),
+            *[c for c in attributes.columns if c not in key], *state,
         )
-        .withColumns({c: F.col(f"s{len(metrics) * len(roles) + i}.last") for i, c in enumerate(extra)})
+        .withColumns({c: F.col("mark")[c] for c in extra})
+    )
+
+
+def _merged(frame: WindowSpec) -> Column:
+    """Sums, extremes and edges of the cells in a frame."""
+    filled = F.col("n") > 0
+    return F.struct(
+        *[
+            merged.over(frame).alias(name)
+            for name, merged in {
+                "cells": F.count(F.lit(1)),
+                "n": F.sum("n"),
+                "sum": F.sum("sum"),
+                "min": F.min("min"),
+                "max": F.max("max"),
+                "last": F.max_by("last", F.when(F.col("last").isNotNull(), F.col("t"))),
+                "inside": F.sum(F.col("var") * F.col("n")),
+                "between": F.var_pop("mean"),
+                "least": F.min(F.when(filled, F.col("n"))),
+                "most": F.max(F.when(filled, F.col("n"))),
+                "off1": F.sum(F.col("n") * F.col("off")),
+                "off2": F.sum(F.col("n") * F.col("off") * F.col("off")),
+                "resets": F.sum("resets"),
+                "reset_size": F.sum("reset_size"),
+                "turns": F.sum(F.col("t_inner") + F.col("t_join")),
+                "entry": F.min_by("t_join", F.when(F.col("t_inner").isNotNull(), F.col("t"))),
+            }.items()
+        ]
+    )
+
+
+def _content(merged: Column) -> Column:
+    """The statistics of a window from its merged cells."""
+    zero = F.lit(0)
+    return F.struct(
+        (merged["cells"] > 0).alias("live"),
+        merged["last"].alias("last"),
+        (merged["sum"] / F.nullif(merged["n"], zero)).alias("mean"),
+        _spread(merged).alias("std"),
+        merged["min"].alias("min"),
+        merged["max"].alias("max"),
+        F.coalesce(merged["n"], zero).alias("n"),
+        merged["resets"].alias("resets"),
+        merged["reset_size"].alias("reset_size"),
+        (F.coalesce(merged["turns"], zero) - F.coalesce(merged["entry"], zero)).alias("changes"),
     )
 
 
-def _spread() -> Column:
+def _spread(merged: Column) -> Column:
     """Population standard deviation of a window from its merged cells.
 
     Cells of equal size need only the variance of their means; unequal cells use squares around a
     nearby level.  A constant window is exactly zero.
     """
-    n = F.col("n")
-    uneven = F.greatest(F.col("off2") - F.col("off1") * F.col("off1") / n, F.lit(0.0))
-    between = F.when(F.col("least") == F.col("most"), n * F.col("between")).otherwise(uneven)
+    n = merged["n"]
+    uneven = F.greatest(merged["off2"] - merged["off1"] * merged["off1"] / n, F.lit(0.0))
+    between = F.when(merged["least"] == merged["most"], n * merged["between"]).otherwise(uneven)
     return F.when(
         n > 0,
-        F.when(F.col("min") == F.col("max"), 0.0).otherwise(F.sqrt((F.col("inside") + between) / n)),
+        F.when(merged["min"] == merged["max"], 0.0).otherwise(F.sqrt((merged["inside"] + between) / n)),
     )
 
 
@@ -545,7 +570,7 @@ def _statistics(rows: DataFrame, keep: Sequence[str], metrics: Sequence[str], gr
                 F.coalesce(f"s{b}.n", zero).alias(f"{base}_count_{s}"),
             ]
         for label, role in (("", RECENT), ("baseline_", BASELINE)):
-            present = [F.col(f"s{codes[m, window, role]}").isNotNull().cast("int") for m in metrics]
+            present = [F.coalesce(F.col(f"s{codes[m, window, role]}.live"), F.lit(False)).cast("int") for m in metrics]
             out.append(
                 reduce(lambda a, b: a + b, present).alias(f"{label}metric_presence_count_{s}")
             )

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pulseframe.operators import clusters, device_pattern, features
+from pulseframe.plans import queries
 
 GRID = features.Grid(bucket_sec=60, windows=(120, 300))
 FIELDS = "itemid string, ordinal bigint, clock bigint, hostid string, host string, host_name string, device_role string, canonical_metric string, ifindex bigint, value double, raw_value double, previous_raw_value double, counter_reset boolean"
@@ -57,3 +58,19 @@ def test_events_are_placed_where_a_sample_can_be_in_reach(spark, records, monkey
     found = device_pattern.nearest_samples(events, records)
     assert seen == [480]  # 4320 before: every event in all nine metrics
     assert found.filter("clock = sample_clock").count() == found.count() == 480
+
+
+def test_window_contents_are_merged_where_they_change(records):
+    found = features.interface_features(records, None, GRID)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan and "map_from_entries" not in plan  # a merged row for each window and grid point, before
+
+
+def test_many_doubles_are_rounded_as_one_array(spark):
+    values = [0.0005, -0.0004, 1.0015, 2.5, None, 1e13 / 3, 123456.7895, -7.0005, 0.1, float("nan")]
+    frame = spark.createDataFrame([(1, *values)], "k int, " + ", ".join(f"`a.{i}` double" for i in range(len(values))))
+    found = queries.rounded(frame)
+    assert found.columns == frame.columns
+    assert "transform(" in found._jdf.queryExecution().optimizedPlan().toString()
+    wanted = frame.select(*[(F.round(F.col(f"`{c}`"), 3) + F.lit(0.0)).alias(c) for c in frame.columns[1:]]).first()
+    assert [str(x) for x in found.first()[1:]] == [str(x) for x in wanted]
