@@ -39,7 +39,7 @@ from . import common, graph
 from .textnum import Words, column_bytes, mixed, slices
 
 #: Cells of the shingle sketch and values of one chunk of it.
-CELLS, _CHUNK = 1 << 18, 1 << 14
+CELLS, _CHUNK = 1 << 20, 1 << 16
 #: Members of a bucket up to which its remaining pairs are listed; larger buckets are compared in blocks.
 SMALL = 48
 BLOCK = 2048
@@ -107,14 +107,19 @@ _CELL_SHIFT = np.uint64(64 - CELLS.bit_length() + 1)
 
 
 def rarity(docs: DataFrame, rule: Rule) -> np.ndarray:
-    """For each cell of shingle hashes a rank from 0 (as rare as most) to 31, in powers of two of the excess count."""
+    """For each cell of shingle hashes a rank from 0 to 31 by its count.
+
+    Up to six deviations above the median a rank is half a deviation wide, so that cells below it, which hold no frequent
+    shingle, come first; beyond, ranks go in powers of two. Shingles of few documents stand out only in such narrow ranks.
+    """
     sums = common.summed_arrays(docs.select("text").mapInArrow(_sketched(rule), "key int, salt int, data binary"))
     if not sums:
-        return np.zeros(CELLS, dtype=np.uint64)
+        return np.zeros(CELLS, dtype=np.uint8)
     count = np.concatenate([sums[k] for k in sorted(sums)])
     usual = np.median(count)
-    excess = np.maximum(count - usual - 4 * np.sqrt(usual + 1), 0)
-    return np.minimum(np.log2(excess + 1), 31).astype(np.uint64)
+    apart = (count - usual) / np.sqrt(usual + 1)
+    narrow, broad = np.floor(2 * apart) + 8, 20 + np.log2(np.maximum(apart / 6, 1))
+    return np.clip(np.where(apart < 6, narrow, broad), 0, 31).astype(np.uint8)
 
 
 _PRINT_FIELDS = "n bigint, s1 bigint, s2 bigint, prefix array<bigint>, parity binary, wide array<bigint>"
@@ -137,7 +142,7 @@ def _printed(rule: Rule, rank: np.ndarray, batches: Iterator[pa.RecordBatch]) ->
                 s1.append(mixed(own * _SIGN[0]).sum(dtype=np.uint64))
                 s2.append(mixed(own ^ _SIGN[1]).sum(dtype=np.uint64))
                 size = rule.prefix(len(own)) if len(own) else 0
-                key = (rank[(own >> _CELL_SHIFT).astype(np.int64)] << np.uint64(58)) | (own >> np.uint64(6))
+                key = (rank[(own >> _CELL_SHIFT).astype(np.int64)].astype(np.uint64) << np.uint64(58)) | (own >> np.uint64(6))
                 if size < len(key):
                     key = np.partition(key, size - 1)[:size]
                 prefixes.append(np.sort(key))
@@ -290,13 +295,14 @@ def _blocks_compared(rule: Rule, most: int):
                 bound = max(HELD, 2 * held)
         out, place, size = _closest(found, most + 1)
         kept = place < most
-        return pa.table({"a": pa.array(out[kept, 3]), "b": pa.array(out[kept, 4]), "more": pa.array((size > most)[kept])})
+        token = pa.array(rows.column("token")[:1].to_pylist() * int(kept.sum()), pa.string())
+        return pa.table({"token": token, "a": pa.array(out[kept, 3]), "b": pa.array(out[kept, 4]), "more": pa.array((size > most)[kept])})
 
     return run
 
 
 def large_bucket_pairs(rest: DataFrame, nodes: DataFrame, rule: Rule, most: int) -> DataFrame:
-    """(a, b, more) across classes inside large buckets (``rest``: token, node, label of their members).
+    """(token, a, b, more) across classes inside large buckets (``rest``: token, node, label of their members).
 
     Members of a class with a block's worth in the bucket stand in blocks of that class alone, the others in shared
     ones; two blocks of one same class never meet.
@@ -319,7 +325,7 @@ def large_bucket_pairs(rest: DataFrame, nodes: DataFrame, rule: Rule, most: int)
         meet.filter("i <> j").select("token", "i", "j", F.col("j").alias("block"), F.lit(1).alias("side"))
     )
     dealt = sides.join(placed, ["token", "block"]).select("token", "i", "j", "side", "node", "label", "n", "parity", "wide")
-    return dealt.groupBy("token", "i", "j").applyInArrow(_blocks_compared(rule, most), "a bigint, b bigint, more boolean")
+    return dealt.groupBy("token", "i", "j").applyInArrow(_blocks_compared(rule, most), "token string, a bigint, b bigint, more boolean")
 
 
 def bucketed(prints: DataFrame, leads: DataFrame, group: list[str]) -> DataFrame:
@@ -408,10 +414,17 @@ def classes(docs: DataFrame, rule: Rule) -> DataFrame:
             (F.col("x.node") < F.col("y.node")) & (F.col("x.label") != F.col("y.label")) & rule.may_link("x", "y")
             & (places_apart("x", "y") <= rule.differs(F.col("x.n"), F.col("y.n")))
         ).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct().withColumn("more", F.lit(False))
+        near = near_enough(pairs, nodes, rule) if most == FIRST else None
         many = rest.filter(F.col("size") > SMALL).select("token", "node", "label")
+        held = None
         if not many.isEmpty():
-            pairs = pairs.unionByName(large_bucket_pairs(many, nodes, rule, most))
-        ordered = near_enough(pairs, nodes, rule).groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.max("more").alias("more"))
+            passed = common.written(large_bucket_pairs(many, nodes, rule, most), "passed")  # by both bitmaps
+            held = passed.filter("more").select("token").distinct()
+            passed = passed.select("a", "b", "more")
+            near = passed if near is None else near.unionByName(passed)
+        if near is None:
+            break
+        ordered = near.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.max("more").alias("more"))
         known = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.lit(True).alias("known")).distinct()
         listed = common.written(ordered.join(known, ["a", "b"], "left"), "pairs")
         untried = listed.filter("known is null").select("a", "b")
@@ -426,9 +439,10 @@ def classes(docs: DataFrame, rule: Rule) -> DataFrame:
                 changed = earlier.unionByName(changed).distinct()
             renamed = common.written(changed, "renamed")
             tried = tried.unionByName(untried)
-        if listed.filter("more").isEmpty():
+        if held is None or held.isEmpty():
             break
-        most *= 8
+        # all pairs of the other buckets are in one class, tried or ruled out: only those that held some back go on
+        open_, most = open_.join(held, "token", "left_semi"), most * 8
 
     component = labelled(nodes.select(*signature, "node", "least")).withColumnRenamed("label", "component")
     least = component.groupBy("component").agg(F.min("least").alias("component_id"))

@@ -100,3 +100,18 @@ def test_packs_do_not_share_bins(spark, capacity, tokens):
     assert bins.agg(F.max("held"), F.sum("held")).first()[:] == (capacity, 64 * tokens)
     packs = packed.select(F.shiftright("bin_id", packing._PACK_SHIFT).alias("pack")).distinct().count()
     assert packs == 4
+
+
+def test_later_turns_look_at_large_buckets_with_pairs_held_back_only(spark, monkeypatch):
+    """A chain of texts, each linked with the next three; every pair of a small bucket is settled in the first turn."""
+    seen, real = [], jaccard_join.still_open
+    monkeypatch.setattr(jaccard_join, "SMALL", 4)
+    monkeypatch.setattr(jaccard_join, "FIRST", 1)
+    monkeypatch.setattr(jaccard_join, "still_open", lambda buckets, known: seen.append(buckets) or real(buckets, known))
+    words = [f"w{k}" for k in range(140)]
+    rows = [(i, " ".join(words[i : i + 60])) for i in range(80)]
+    found = jaccard_join.classes(spark.createDataFrame(rows, "doc_id long, text string"), jaccard_join.CONTRACT)
+    assert {r.component_id for r in found.collect()} == {0}
+    assert len(seen) > 1
+    for buckets in seen[1:]:
+        assert buckets.filter(F.col("size") <= 4).isEmpty()  # all open buckets went on, before
