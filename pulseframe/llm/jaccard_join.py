@@ -15,10 +15,10 @@ its pivot (the node of the group with most copies), and only what is then still
 pairs in buckets of up to ``SMALL`` members, and blocks of members against blocks in larger ones, where blocks that
 already lie in one class are skipped. A pair reaches verification only if parity bitmaps allow it: each set has
 ``BITS`` bits, each the parity of the elements that hash there, so two bitmaps differ in no more places than the sets
-do; sets beyond ``WIDE_FROM`` elements fill these and have a wide one as well. A block passes on, for each two classes, the
-closest pairs that both bitmaps allow; while it holds some back, another round with
-the classes joined so far asks for more. This is exact: every pair of a bucket is in one class, or verified, or ruled
-out by a bound.
+do; sets beyond ``WIDE_FROM`` elements fill these and have a wide one as well. A block passes on, for each class, the
+closest pairs that both bitmaps allow, so it makes no more rows than a few for each class in it; while it holds some back,
+another round with the classes joined so far asks for more. Two nodes of many large buckets count in the first one that both
+list. This is exact: every pair of a bucket is in one class, or verified, or ruled out by a bound, or met in another bucket.
 
 Defined results: null, empty and blank texts have no shingle, link with nothing and are a class of their own; a text
 of fewer words than a shingle is one shingle. Rows that repeat an id are separate documents, whose class is the least
@@ -43,10 +43,12 @@ CELLS, _CHUNK = 1 << 20, 1 << 16
 #: Members of a bucket up to which its remaining pairs are listed; larger buckets are compared in blocks.
 SMALL = 48
 BLOCK = 2048
-#: Pairs of two classes that a block passes on in the first round; each further round takes 8 times as many.
+#: Pairs of a class that a block passes on in the first round; each further round takes 8 times as many.
 FIRST = 4
-#: Pairs that a block holds before it lets all but the closest of each two classes go.
+#: Pairs that a block holds before it lets all but the closest of each class go.
 HELD = 1 << 18
+#: Large buckets of a node that travel with it; two nodes that share several meet in the first of these.
+LISTED = 16
 #: Bits of the parity bitmap, and of the wide one that sets beyond ``WIDE_FROM`` elements have besides.
 BITS, WIDE_BITS, WIDE_FROM = 512, 8192, 1024
 #: Up to so many keys (16 bytes each) go to the texts by broadcast, counted first; more are joined by a shuffle.
@@ -244,23 +246,34 @@ def near_enough(pairs: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
     return both.filter(~out).select("a", "b", "more")
 
 
-def _closest(found: list[np.ndarray], most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of rows (p, q, apart, a, b) the ``most`` closest of each two classes, the place of each, and how many these had."""
+def _closest(found: list[np.ndarray], most: int) -> tuple[np.ndarray, bool]:
+    """The rows (p, q, apart, a, b) among the ``most`` closest of one of their classes p and q, and whether there were others."""
     rows = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 5), dtype=np.int64)
-    new = np.ones(len(rows), dtype=bool)
-    new[1:] = (rows[1:, :2] != rows[:-1, :2]).any(axis=1)
-    first = np.flatnonzero(new)
-    size = np.diff(np.append(first, len(rows)))
-    place = np.arange(len(rows)) - np.repeat(first, size)
-    kept = place < most
-    return rows[kept], place[kept], np.repeat(np.minimum(size, most), size)[kept]
+    rows = rows[np.argsort(rows[:, 2], kind="stable")]
+    ends = np.concatenate((rows[:, 0], rows[:, 1]))
+    row = np.tile(np.arange(len(rows)), 2)
+    order = np.lexsort((row, ends))
+    first = np.flatnonzero(np.diff(ends[order], prepend=ends[order][:1] - 1))
+    place = np.arange(len(ends)) - np.repeat(first, np.diff(np.append(first, len(ends))))
+    kept = np.zeros(len(rows), dtype=bool)
+    kept[row[order][place < most]] = True
+    return rows[kept], not kept.all()
+
+
+def _listed(rows: pa.Table) -> np.ndarray:
+    """The numbers of the large buckets that each row lists, in lines of ``LISTED``; places left are below any number."""
+    lists = rows.column("listed").combine_chunks()
+    size = lists.value_lengths().to_numpy(zero_copy_only=False)
+    found = np.full((len(rows), LISTED), np.iinfo(np.int64).min)
+    found[np.arange(LISTED) < size[:, None]] = lists.flatten().to_numpy(zero_copy_only=False)
+    return found
 
 
 def _blocks_compared(rule: Rule, most: int):
-    """Pairs of two blocks that may link and lie in different classes: the ``most`` closest of each two classes.
+    """Pairs of two blocks that may link and lie in different classes: the ``most`` closest of each class.
 
     ``more`` tells that some were held back. Both bitmaps are tested before pairs are ranked, so no row that is passed on,
-    and with it ``more``, falls to ``near_enough``.
+    and with it ``more``, falls to ``near_enough``. Pairs that both list a bucket of a lesser number are left to that one.
     """
 
     def run(rows: pa.Table) -> pa.Table:
@@ -269,10 +282,11 @@ def _blocks_compared(rule: Rule, most: int):
         at_wide = np.cumsum(large) - 1
         wide = rows.column("wide").combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(-1, WIDE_BITS // 64).view(np.uint64)
         n, label, node, side = (rows.column(c).to_numpy() for c in ("n", "label", "node", "side"))
+        listed, number = _listed(rows), rows.column("number")[0].as_py()
         left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
         if not len(right):
             right = left
-        found, held, bound = [], 0, HELD
+        found, held, bound, more = [], 0, HELD, False
         for i in left:
             apart = np.bitwise_count(bits[right] ^ bits[i]).sum(axis=1, dtype=np.int64)
             total = n[right] + n[i]
@@ -283,20 +297,23 @@ def _blocks_compared(rule: Rule, most: int):
                 both = near[large[right[near]]]
                 far = np.bitwise_count(wide[at_wide[right[both]]] ^ wide[at_wide[i]]).sum(axis=1, dtype=np.int64) > limit[both]
                 near = np.setdiff1d(near, both[far], assume_unique=True)
+            if len(near):
+                before = listed[i][listed[i] > np.iinfo(np.int64).min]
+                before = before if number is None else before[before < number]
+                near = near[~np.isin(listed[right[near]], before).any(axis=1)]
             if len(near):
                 k = right[near]
                 first = label[i] < label[k]
                 p, q = np.minimum(label[i], label[k]), np.maximum(label[i], label[k])
                 found.append(np.column_stack((p, q, apart[near], np.where(first, node[i], node[k]), np.where(first, node[k], node[i]))))
                 held += len(near)
-            if held > bound:  # one more than asked for stays, so that the end can tell whether any were held back
-                found = [_closest(found, most + 1)[0]]
-                held = len(found[0])
+            if held > bound:
+                kept, left_out = _closest(found, most)
+                found, held, more = [kept], len(kept), more or left_out
                 bound = max(HELD, 2 * held)
-        out, place, size = _closest(found, most + 1)
-        kept = place < most
-        token = pa.array(rows.column("token")[:1].to_pylist() * int(kept.sum()), pa.string())
-        return pa.table({"token": token, "a": pa.array(out[kept, 3]), "b": pa.array(out[kept, 4]), "more": pa.array((size > most)[kept])})
+        out, left_out = _closest(found, most)
+        token = pa.array(rows.column("token")[:1].to_pylist() * len(out), pa.string())
+        return pa.table({"token": token, "a": pa.array(out[:, 3]), "b": pa.array(out[:, 4]), "more": pa.array([more or left_out] * len(out), pa.bool_())})
 
     return run
 
@@ -305,8 +322,10 @@ def large_bucket_pairs(rest: DataFrame, nodes: DataFrame, rule: Rule, most: int)
     """(token, a, b, more) across classes inside large buckets (``rest``: token, node, label of their members).
 
     Members of a class with a block's worth in the bucket stand in blocks of that class alone, the others in shared
-    ones; two blocks of one same class never meet.
+    ones; two blocks of one same class never meet. Each node lists its ``LISTED`` buckets of least number; groups have none.
     """
+    number = F.expr("try_cast(token as bigint)")
+    listed = rest.groupBy("node").agg(F.slice(F.sort_array(F.collect_set(number)), 1, LISTED).alias("listed"))
     sizes = rest.groupBy("token", "label").agg(F.count(F.lit(1)).alias("members"))
     shared = sizes.filter(F.col("members") < BLOCK).groupBy("token").agg(F.ceil(F.sum("members") / BLOCK).cast("int").alias("shared"))
     large = F.col("members") >= BLOCK
@@ -315,7 +334,8 @@ def large_bucket_pairs(rest: DataFrame, nodes: DataFrame, rule: Rule, most: int)
     placed = rest.join(sizes, ["token", "label"]).join(shared, "token", "left").select(
         "token", "node", "label", F.when(large, own).otherwise(among).alias("block"), F.when(large, F.col("label")).alias("only")
     )
-    placed = common.written(placed.join(nodes.select("node", "n", "parity", "wide"), "node"), "blocks")
+    placed = placed.withColumn("number", number).join(listed, "node").join(nodes.select("node", "n", "parity", "wide"), "node")
+    placed = common.written(placed, "blocks")
     blocks = placed.select("token", "block", "only").distinct()
     x, y = blocks.alias("x"), blocks.alias("y")
     meet = x.join(y, F.col("x.token") == F.col("y.token")).filter(
@@ -324,7 +344,7 @@ def large_bucket_pairs(rest: DataFrame, nodes: DataFrame, rule: Rule, most: int)
     sides = meet.select("token", "i", "j", F.col("i").alias("block"), F.lit(0).alias("side")).unionByName(
         meet.filter("i <> j").select("token", "i", "j", F.col("j").alias("block"), F.lit(1).alias("side"))
     )
-    dealt = sides.join(placed, ["token", "block"]).select("token", "i", "j", "side", "node", "label", "n", "parity", "wide")
+    dealt = sides.join(placed, ["token", "block"]).select("token", "i", "j", "side", "node", "label", "n", "parity", "wide", "number", "listed")
     return dealt.groupBy("token", "i", "j").applyInArrow(_blocks_compared(rule, most), "token string, a bigint, b bigint, more boolean")
 
 

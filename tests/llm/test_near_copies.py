@@ -115,3 +115,19 @@ def test_later_turns_look_at_large_buckets_with_pairs_held_back_only(spark, monk
     assert len(seen) > 1
     for buckets in seen[1:]:
         assert buckets.filter(F.col("size") <= 4).isEmpty()  # all open buckets went on, before
+
+
+def test_large_buckets_pass_on_a_few_pairs_of_each_class_and_each_pair_once(spark):
+    """Forty copies of one set, each of a class of its own, in three buckets and one group: all 780 pairs came from each, before."""
+    rule, rng = jaccard_join.NEAR, np.random.default_rng(6)
+    base = rng.integers(1, 2**63, 300, dtype=np.uint64)
+    sets = [np.concatenate((np.delete(base, k), rng.integers(1, 2**63, 1, dtype=np.uint64))) for k in range(40)]
+    rows = [(k, len(s), bytearray(jaccard_join.parity_bits(s, jaccard_join.BITS).tobytes()), None) for k, s in enumerate(sets)]
+    nodes = spark.createDataFrame(rows, "node long, n long, parity binary, wide array<long>")
+    rest = nodes.crossJoin(spark.createDataFrame([(t,) for t in ("5", "70", "8", "g3")], "token string")).select("token", "node", F.col("node").alias("label"))
+    few = jaccard_join.large_bucket_pairs(rest, nodes, rule, 4).collect()
+    assert {r.token for r in few} == {"5"} and len(few) <= 4 * 40 and all(r.more for r in few)
+    assert {x for r in few for x in (r.a, r.b)} == set(range(40))
+    every = jaccard_join.large_bucket_pairs(rest, nodes, rule, 40).collect()
+    assert sorted((r.a, r.b) for r in every) == [(a, b) for a in range(40) for b in range(a + 1, 40)]
+    assert {(r.token, r.more) for r in every} == {("5", False)}
