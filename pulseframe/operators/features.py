@@ -356,8 +356,16 @@ def _codes(metrics: Sequence[str], grid: Grid) -> dict[tuple[str, int, str], int
     return {combo: code for code, combo in enumerate(combos)}
 
 
+# Fields of a window's content, each never null, as a window without cells has them.
+NOTHING = {
+    "live": False, "n": 0, "last": 0.0, "mean": 0.0, "std": 0.0, "min": 0.0, "max": 0.0, "resets": 0, "reset_size": 0.0, "changes": 0,
+}
+# Those that a window without values does not have.
+OF_VALUES = ("last", "mean", "std", "min", "max")
+
 # Windows that hold something, counted at every grid point, that one task fills; what a task holds does not grow with the input.
-SPANS_PER_TASK = 1 << 18
+# A task also generates the code of several hundred columns, which takes it seconds: it must have rows enough for that.
+SPANS_PER_TASK = 1 << 20
 
 
 def _window_rows(
@@ -372,10 +380,10 @@ def _window_rows(
 ) -> DataFrame:
     """Grid rows of every entity with merged window statistics, before derivation.
 
-    A row has one struct ``s<code>`` per code, null or not ``live`` where the window holds no cell.  Cells are written
-    first: their number says over how many tasks the far more numerous grid rows go.  ``attributes`` has one row per
-    entity and is attached to every row.  ``markers`` are extra per-entity grid rows (``t`` plus value columns)
-    that also count as observations.
+    A row has one column ``s<code>_<field>`` per code and field of ``NOTHING``, so that a reader of few columns has only their
+    windows computed.  Cells are written first: their number says over how many tasks the far more numerous grid rows
+    go.  ``attributes`` has one row per entity and is attached to every row.  ``markers`` are extra per-entity grid
+    rows (``t`` plus value columns) that also count as observations.
     """
     step = grid.step
     cells = staging.materialise(metric_cells(samples, key, step, transition, falls_only), "cells")
@@ -416,38 +424,38 @@ def _window_rows(
     )
 
     # A window's content when a cell enters it, and when that cell leaves it, for each length.
+    edges = {
+        f"{moment}{window}": reach
+        for window in grid.windows
+        for moment, reach in (("in", (step - window, 0)), ("out", (step, window)))
+    }
     merged = placed.select(
         *key, "_slice", "metric", "t",
         *[
-            _merged(series.orderBy("t").rangeBetween(*reach)).alias(f"{moment}{window}")
-            for window in grid.windows
-            for moment, reach in (("in", (step - window, 0)), ("out", (step, window)))
+            c.alias(f"{edge}_{name}")
+            for edge, reach in edges.items()
+            for name, c in _merged(series.orderBy("t").rangeBetween(*reach)).items()
         ],
     )
     contents = merged.select(
         *key, "_slice", "metric", "t",
-        *[_content(F.col(c)).alias(c) for c in merged.columns if c not in (*key, "_slice", "metric", "t")],
+        *[c.alias(f"{edge}_{name}") for edge in edges for name, c in _content(edge).items()],
     )
     metric_number = F.array_position(F.array(*[F.lit(m) for m in metrics]), F.col("metric")) - 1
-    turns = F.array(
-        *[
-            F.struct(
-                F.lit(number).alias("role"),
-                (F.col("t") + (window if role == BASELINE else 0) + (window if moment == "out" else 0)).alias("t"),
-                F.col(f"{moment}{window}").alias("s"),
-            )
-            for number, (window, role) in enumerate(roles)
-            for moment in ("in", "out")
-        ]
-    )
-    changes = contents.select(
-        *key, "_slice", (metric_number * len(roles)).alias("_first"), F.explode(turns).alias("_turn")
-    ).select(
-        *key, "_slice", "_turn.t", (F.col("_first") + F.col("_turn.role")).cast("int").alias("code"),
-        F.col("_turn.s.live").alias("live"), "_turn.s",
+    turns = [(number, window, role, moment) for number, (window, role) in enumerate(roles) for moment in ("in", "out")]
+
+    def at_turn(choices: Sequence[object]) -> Column:
+        return F.expr(f"CASE _turn {' '.join(f'WHEN {k} THEN {c}' for k, c in enumerate(choices))} END")
+
+    # The turn is a number and its fields are chosen one by one: those of a struct would all be computed.
+    later = [(window if role == BASELINE else 0) + (window if moment == "out" else 0) for _, window, role, moment in turns]
+    changes = contents.select("*", F.explode(F.array(*[F.lit(k) for k in range(len(turns))])).alias("_turn")).select(
+        *key, "_slice", (F.col("t") + at_turn(later)).alias("t"),
+        (metric_number * len(roles) + at_turn([number for number, *_ in turns])).cast("int").alias("code"),
+        *[at_turn([f"{moment}{window}_{name}" for _, window, _, moment in turns]).alias(name) for name in NOTHING],
     )
     codes = list(range(len(metrics) * len(roles)))
-    state = {f"s{code}": F.when(F.col("code") == code, F.col("s")) for code in codes}
+    fields = [(f"s{code}_{name}", code, name) for code in codes for name in NOTHING]
     if markers is not None:
         marked = markers.select(
             *key, floor_bucket(F.col("t"), grid.slice_width).alias("_slice"), "t",
@@ -457,91 +465,99 @@ def _window_rows(
         gone = marked.withColumns({"t": F.col("t") + step, "mark": none})
         both = marked.unionByName(gone).withColumn("live", F.col("mark.live"))
         changes = changes.unionByName(both, allowMissingColumns=True).repartition(tasks, *key, "_slice")
-        state["mark"] = F.col("mark")
 
     # Where two changes fall together they show the same content, but a marker may follow the end of another.
-    along = Window.partitionBy(*key, "_slice").orderBy("t", "live")
-    so_far = along.rowsBetween(Window.unboundedPreceding, 0)
+    along = f"PARTITION BY {', '.join(key)}, _slice ORDER BY t, live"
+
+    def latest(change: str) -> Column:
+        return F.expr(f"last({change}) IGNORE NULLS OVER ({along} ROWS UNBOUNDED PRECEDING)")
+
     wide = (
         changes.filter(F.col("t") < F.col("_slice") + grid.slice_width)
         .select(
-            *key, "_slice", F.col("t").alias("_from"), F.lead("t").over(along).alias("_next"),
-            *[F.last(change, ignorenulls=True).over(so_far).alias(name) for name, change in state.items()],
+            *key, "_slice", F.col("t").alias("_from"), F.expr(f"lead(t) OVER ({along})").alias("_next"),
+            *[latest(f"CASE WHEN code = {code} THEN {name} END").alias(column) for column, code, name in fields],
+            *[latest("mark").alias("mark") for _ in extra[:1]],
         )
     )
-    alive = [f"s{code}" for (m, w, role), code in _codes(metrics, grid).items() if w == grid.longest and role == RECENT]
-    alive += ["mark"] if markers is not None else []
+    alive = [f"s{code}_live" for (m, w, role), code in _codes(metrics, grid).items() if w == grid.longest and role == RECENT]
+    alive += ["mark.live"] if markers is not None else []
     low = F.greatest(ceil_bucket(F.col("_from"), grid.bucket_sec), F.col("_slice"))
     high = F.least(F.col("_next") - 1, F.col("_slice") + grid.slice_width - 1, F.col("_end"))
     return (
-        wide.filter(reduce(lambda a, b: a | b, [F.coalesce(F.col(f"{c}.live"), F.lit(False)) for c in alive]))
+        wide.filter(reduce(lambda a, b: a | b, [F.coalesce(F.col(c), F.lit(False)) for c in alive]))
         .join(described.hint("shuffle_hash"), [*key, "_slice"])
         .filter(low <= high)
         .select(
             *key, "_slice", F.explode(F.sequence(low, high, F.lit(grid.bucket_sec).cast("bigint"))).alias("t"),
-            *[c for c in attributes.columns if c not in key], *state,
+            *[c for c in attributes.columns if c not in key],
+            *[_known(code, name) for _, code, name in fields], *[F.col("mark")[c].alias(c) for c in extra],
         )
-        .withColumns({c: F.col("mark")[c] for c in extra})
     )
 
 
-def _merged(frame: WindowSpec) -> Column:
+def _known(code: int, name: str) -> Column:
+    """A field of a window as it is seen: null for what only values give where there are none."""
+    seen = f"CASE WHEN s{code}_n > 0 THEN s{code}_{name} END" if name in OF_VALUES else f"coalesce(s{code}_{name}, {NOTHING[name]})"
+    return F.expr(seen).alias(f"s{code}_{name}")
+
+
+def _merged(frame: WindowSpec) -> dict[str, Column]:
     """Sums, extremes and edges of the cells in a frame."""
     filled = F.col("n") > 0
-    return F.struct(
-        *[
-            merged.over(frame).alias(name)
-            for name, merged in {
-                "cells": F.count(F.lit(1)),
-                "n": F.sum("n"),
-                "sum": F.sum("sum"),
-                "min": F.min("min"),
-                "max": F.max("max"),
-                "last": F.max_by("last", F.when(F.col("last").isNotNull(), F.col("t"))),
-                "inside": F.sum(F.col("var") * F.col("n")),
-                "between": F.var_pop("mean"),
-                "least": F.min(F.when(filled, F.col("n"))),
-                "most": F.max(F.when(filled, F.col("n"))),
-                "off1": F.sum(F.col("n") * F.col("off")),
-                "off2": F.sum(F.col("n") * F.col("off") * F.col("off")),
-                "resets": F.sum("resets"),
-                "reset_size": F.sum("reset_size"),
-                "turns": F.sum(F.col("t_inner") + F.col("t_join")),
-                "entry": F.min_by("t_join", F.when(F.col("t_inner").isNotNull(), F.col("t"))),
-            }.items()
-        ]
-    )
+    merged = {
+        "cells": F.count(F.lit(1)),
+        "n": F.sum("n"),
+        "sum": F.sum("sum"),
+        "min": F.min("min"),
+        "max": F.max("max"),
+        "last": F.max_by("last", F.when(F.col("last").isNotNull(), F.col("t"))),
+        "inside": F.sum(F.col("var") * F.col("n")),
+        "between": F.var_pop("mean"),
+        "least": F.min(F.when(filled, F.col("n"))),
+        "most": F.max(F.when(filled, F.col("n"))),
+        "off1": F.sum(F.col("n") * F.col("off")),
+        "off2": F.sum(F.col("n") * F.col("off") * F.col("off")),
+        "resets": F.sum("resets"),
+        "reset_size": F.sum("reset_size"),
+        "turns": F.sum(F.col("t_inner") + F.col("t_join")),
+        "entry": F.min_by("t_join", F.when(F.col("t_inner").isNotNull(), F.col("t"))),
+    }
+    return {name: c.over(frame) for name, c in merged.items()}
 
 
-def _content(merged: Column) -> Column:
+def _content(edge: str) -> dict[str, Column]:
     """The statistics of a window from its merged cells."""
     zero = F.lit(0)
-    return F.struct(
-        (merged["cells"] > 0).alias("live"),
-        merged["last"].alias("last"),
-        (merged["sum"] / F.nullif(merged["n"], zero)).alias("mean"),
-        _spread(merged).alias("std"),
-        merged["min"].alias("min"),
-        merged["max"].alias("max"),
-        F.coalesce(merged["n"], zero).alias("n"),
-        merged["resets"].alias("resets"),
-        merged["reset_size"].alias("reset_size"),
-        (F.coalesce(merged["turns"], zero) - F.coalesce(merged["entry"], zero)).alias("changes"),
-    )
+    n = F.col(f"{edge}_n")
+    found = {
+        "live": F.col(f"{edge}_cells") > 0,
+        "n": n,
+        "last": F.col(f"{edge}_last"),
+        "mean": F.col(f"{edge}_sum") / F.nullif(n, zero),
+        "std": _spread(edge),
+        "min": F.col(f"{edge}_min"),
+        "max": F.col(f"{edge}_max"),
+        "resets": F.col(f"{edge}_resets"),
+        "reset_size": F.col(f"{edge}_reset_size"),
+        "changes": F.coalesce(F.col(f"{edge}_turns"), zero) - F.coalesce(F.col(f"{edge}_entry"), zero),
+    }
+    return {name: F.coalesce(found[name], F.lit(nothing)) for name, nothing in NOTHING.items()}
 
 
-def _spread(merged: Column) -> Column:
+def _spread(edge: str) -> Column:
     """Population standard deviation of a window from its merged cells.
 
     Cells of equal size need only the variance of their means; unequal cells use squares around a
     nearby level.  A constant window is exactly zero.
     """
-    n = merged["n"]
-    uneven = F.greatest(merged["off2"] - merged["off1"] * merged["off1"] / n, F.lit(0.0))
-    between = F.when(merged["least"] == merged["most"], n * merged["between"]).otherwise(uneven)
+    n, off1 = F.col(f"{edge}_n"), F.col(f"{edge}_off1")
+    uneven = F.greatest(F.col(f"{edge}_off2") - off1 * off1 / n, F.lit(0.0))
+    even = F.col(f"{edge}_least") == F.col(f"{edge}_most")
+    between = F.when(even, n * F.col(f"{edge}_between")).otherwise(uneven)
     return F.when(
         n > 0,
-        F.when(merged["min"] == merged["max"], 0.0).otherwise(F.sqrt((merged["inside"] + between) / n)),
+        F.when(F.col(f"{edge}_min") == F.col(f"{edge}_max"), 0.0).otherwise(F.sqrt((F.col(f"{edge}_inside") + between) / n)),
     )
 
 
@@ -558,28 +574,28 @@ def _statistics(rows: DataFrame, keep: Sequence[str], metrics: Sequence[str], gr
             name, base = f"{m}_{s}", f"{m}_baseline"
 
             out += [
-                F.col(f"s{r}.last").alias(f"{name}_last"),
-                F.col(f"s{r}.mean").alias(f"{name}_mean"),
-                F.col(f"s{r}.std").alias(f"{name}_std"),
-                F.col(f"s{r}.min").alias(f"{name}_min"),
-                F.col(f"s{r}.max").alias(f"{name}_max"),
-                F.coalesce(f"s{r}.n", zero).alias(f"{name}_count"),
-                (F.col(f"s{r}.max") - F.col(f"s{r}.min")).alias(f"{name}_range"),
-                F.col(f"s{b}.mean").alias(f"{base}_mean_{s}"),
-                F.col(f"s{b}.std").alias(f"{base}_std_{s}"),
-                F.coalesce(f"s{b}.n", zero).alias(f"{base}_count_{s}"),
+                F.col(f"s{r}_last").alias(f"{name}_last"),
+                F.col(f"s{r}_mean").alias(f"{name}_mean"),
+                F.col(f"s{r}_std").alias(f"{name}_std"),
+                F.col(f"s{r}_min").alias(f"{name}_min"),
+                F.col(f"s{r}_max").alias(f"{name}_max"),
+                F.col(f"s{r}_n").alias(f"{name}_count"),
+                (F.col(f"s{r}_max") - F.col(f"s{r}_min")).alias(f"{name}_range"),
+                F.col(f"s{b}_mean").alias(f"{base}_mean_{s}"),
+                F.col(f"s{b}_std").alias(f"{base}_std_{s}"),
+                F.col(f"s{b}_n").alias(f"{base}_count_{s}"),
             ]
         for label, role in (("", RECENT), ("baseline_", BASELINE)):
-            present = [F.coalesce(F.col(f"s{codes[m, window, role]}.live"), F.lit(False)).cast("int") for m in metrics]
+            present = [F.col(f"s{codes[m, window, role]}_live").cast("int") for m in metrics]
             out.append(
                 reduce(lambda a, b: a + b, present).alias(f"{label}metric_presence_count_{s}")
             )
         discards = [codes[m, window, RECENT] for m in DISCARD_METRICS if m in metrics]
         for field, empty in (("resets", zero), ("reset_size", F.lit(0.0))):
-            parts = [F.coalesce(f"s{c}.{field}", empty) for c in discards] or [empty]
+            parts = [F.col(f"s{c}_{field}") for c in discards] or [empty]
             out.append(reduce(lambda a, b: a + b, parts).alias(f"{field}_{s}"))
         t = codes[transition, window, RECENT]
-        out.append(F.coalesce(f"s{t}.changes", zero).alias(f"changes_{s}"))
+        out.append(F.col(f"s{t}_changes").alias(f"changes_{s}"))
     return rows.select(*keep, *out)
 
 

@@ -169,17 +169,17 @@ def gate(rows: DataFrame, settings: MatrixSettings) -> DataFrame:
         base.isNull() | (base <= 0),
     )
     reasons = tagged([(c, F.lit(r)) for c, r in zip(conditions, GATE_REASONS)])
-    return rows.withColumn("reasons", reasons).withColumn(
-        "training_eligible", (F.size("reasons") == 0).cast("int")
+    # Said without the array, for a filter on it is moved down to where the ratios are formulas: compared once each.
+    passes = (recent >= settings.recent_coverage) & (base >= settings.baseline_coverage) & (base > 0)
+    return rows.withColumns(
+        {"reasons": reasons, "training_eligible": F.coalesce(passes, F.lit(False)).cast("int")}
     )
 
 
 def gate_counts(gated: DataFrame) -> DataFrame:
-    return (
-        gated.select(F.explode("reasons").alias("reason"))
-        .groupBy("reason")
-        .agg(F.count(F.lit(1)).alias("rows"))
-    )
+    """Rows per reason that occurs; the reasons are not exploded, as that adds a filter on them."""
+    counts = gated.agg(*[F.count_if(F.array_contains("reasons", r)).alias(r) for r in GATE_REASONS])
+    return counts.unpivot([], list(GATE_REASONS), "reason", "rows").filter("rows > 0")
 
 
 def candidate_columns(rows: DataFrame, settings: MatrixSettings) -> list[str]:

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from pulseframe.operators import clusters, device_pattern, features
+from pulseframe.operators import clusters, device_pattern, features, mldata
 from pulseframe.plans import queries
 
 GRID = features.Grid(bucket_sec=60, windows=(120, 300))
@@ -74,3 +74,35 @@ def test_many_doubles_are_rounded_as_one_array(spark):
     assert "transform(" in found._jdf.queryExecution().optimizedPlan().toString()
     wanted = frame.select(*[(F.round(F.col(f"`{c}`"), 3) + F.lit(0.0)).alias(c) for c in frame.columns[1:]]).first()
     assert [str(x) for x in found.first()[1:]] == [str(x) for x in wanted]
+
+
+def test_a_reader_of_coverage_has_no_other_window_statistic_computed(records):
+    found = queries.rounded(features.interface_features(records, None, GRID), alone=("metric_coverage_ratio_2m",))
+    plan = found.select("timestamp", "metric_coverage_ratio_2m")._jdf.queryExecution().optimizedPlan().toString()
+    assert "count(1) windowspecdefinition" in plan
+    assert "transform(" not in plan and "max_by(" not in plan and "stddev" not in plan and "var_pop(" not in plan  # all of a window, and all rounded, before
+
+
+def test_a_reader_of_one_column_has_few_others_rounded(spark):
+    frame = spark.range(3).selectExpr("id", *[f"CAST(id AS DOUBLE) / {k + 3} AS c{k}" for k in range(40)])
+    plan = queries.rounded(frame).select("c17")._jdf.queryExecution().optimizedPlan().toString()
+    assert " / 20.0)" in plan and " / 42.0)" not in plan  # one array of all 40 before
+    assert [r.c17 for r in queries.rounded(frame, alone=("c17",)).collect()] == [0.0, 0.05, 0.1]
+
+
+def test_the_gate_of_a_filter_is_that_of_the_reasons(spark):
+    settings = mldata.MatrixSettings()
+    values = [None, float("nan"), float("inf"), -1.0, 0.0, 0.5, 0.8, 1.0]
+    rows = spark.createDataFrame([(a, b) for a in values for b in values], "metric_coverage_ratio_5m double, baseline_metric_coverage_ratio_5m double")
+    gated = mldata.gate(rows, settings)
+    found = gated.collect()
+    assert all(r.training_eligible == (not r.reasons) for r in found) and sum(r.training_eligible for r in found) == 4
+    wanted = {}
+    for r in found:
+        for reason in r.reasons:
+            wanted[reason] = wanted.get(reason, 0) + 1
+    counts = mldata.gate_counts(gated)
+    assert {r.reason: r.rows for r in counts.collect()} == wanted and counts.columns == ["reason", "rows"]
+    assert "size(" not in counts._jdf.queryExecution().optimizedPlan().toString()  # explode adds a filter on the array, moved down below the windows
+    assert mldata.gate_counts(gated.filter("training_eligible = 1")).collect() == []
+    assert "filter(" not in gated.filter("training_eligible = 1").drop("reasons")._jdf.queryExecution().optimizedPlan().toString()
