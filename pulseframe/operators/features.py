@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from pulseframe.functions.ifindex import parse_ifindex
 from pulseframe.functions.scalars import (
+    added,
     ceil_bucket,
     finite,
     first_non_empty,
@@ -808,10 +809,7 @@ def feature_audit(features: DataFrame, key: Sequence[str], short: str) -> DataFr
     columns = feature_columns(features)
     recent = F.col(f"metric_coverage_ratio_{short}")
     base = F.col(f"baseline_metric_coverage_ratio_{short}")
-    present = reduce(
-        lambda a, b: a + b, [finite(F.col(f"`{c}`").cast("double")).isNotNull().cast("int")
-                             for c in columns]
-    )
+    present = added([finite(F.col(f"`{c}`").cast("double")).isNotNull().cast("int") for c in columns])
     flags = {
         "rows_with_counter_reset": f"counter_reset_flag_{short}",
         "rows_with_status_change": f"oper_status_change_flag_{short}",

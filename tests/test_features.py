@@ -106,3 +106,12 @@ def test_the_gate_of_a_filter_is_that_of_the_reasons(spark):
     assert "size(" not in counts._jdf.queryExecution().optimizedPlan().toString()  # explode adds a filter on the array, moved down below the windows
     assert mldata.gate_counts(gated.filter("training_eligible = 1")).collect() == []
     assert "filter(" not in gated.filter("training_eligible = 1").drop("reasons")._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_an_audit_of_many_columns_is_no_deep_expression(spark):
+    names = [f"x{k}" for k in range(700)]  # 349 of them were enough to overflow the stack of some threads
+    rows = [(1, "h", 1, 0.5, 0.0, *[float(k) for k in range(700)]), (2, "h", 1, None, 0.25, *[None if k % 3 else float("nan") for k in range(700)])]
+    fields = "timestamp long, hostid string, ifindex long, metric_coverage_ratio_2m double, baseline_metric_coverage_ratio_2m double, "
+    frame = spark.createDataFrame(rows, fields + ", ".join(f"{n} double" for n in names))
+    found = features.feature_audit(frame, features.INTERFACE_KEY, "2m").first()
+    assert (found["rows"], found.entities, found.feature_columns, found.mean_finite_features) == (2, 1, 702, (702 + 1) / 2)
